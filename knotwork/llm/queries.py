@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knotwork.llm import encoding, linkage, mixture, splitting, survivor
+from knotwork.llm import encoding, linkage, markup, mixture, splitting, survivor
 from knotwork.sources.tables import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Elements of markup that page contents and link aliases hold."""
+    pages = markup.find_elements(table(spark, d, "raw_pages", "page_id", "content"), F.col("page_id"), F.col("content"))
+    links = markup.find_elements(table(spark, d, "wiki_links", "link_id", "alias"), F.col("link_id"), F.col("alias"))
+    both = pages.withColumn("src", F.lit("raw_pages")).unionByName(links.withColumn("src", F.lit("wiki_links")))
+    return both.select("src", F.col("row_id"), "element")
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text of every page content."""
+    pages = table(spark, d, "raw_pages", "page_id", "content").dropDuplicates(["page_id"])
+    return markup.clean_documents(pages, F.col("page_id"), F.col("content")).withColumnRenamed("row_id", "page_id")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Records of graph base and graph add about the same thing."""
     return linkage.link_rows(table(spark, d, "concept_docs", "concept_row", "graph", "concept_key", "body")).select("row_lo", "row_hi")
@@ -51,8 +65,6 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_pieces(spark, d).filter("pieces > 1 and piece = 0").select("doc_id")
 
 
-_KEY = "lower(trim(replace(concept_key, '_', ' ')))"
-
 SQL: dict[str, str] = {}
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_confidence, p7_found, p8_ids, p9_mixture, p9_shares, p10_pieces, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_clean, p5_found, p5_confidence, p7_found, p8_ids, p9_mixture, p9_shares, p10_pieces, p10_found)}

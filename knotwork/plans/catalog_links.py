@@ -97,8 +97,8 @@ def priority_topics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def subgraph(spark: SparkSession, d: str) -> DataFrame:
-    """The links around the first three customers."""
-    seeds = table(spark, d, "customer", "c_custkey").filter("c_custkey <= 3").select(F.concat(F.lit("C"), "c_custkey").alias("id"))
+    """The links around every twentieth customer."""
+    seeds = table(spark, d, "customer", "c_custkey").filter("c_custkey % 20 = 0").select(F.concat(F.lit("C"), "c_custkey").alias("id"))
     return L.subgraph(links(spark, d), seeds).select("src", "dst", "count", "in_text")
 
 
@@ -209,7 +209,7 @@ f AS (SELECT src, dst, score, coalesce(i2.n, 0) AS n2, CAST(trunc(256 * (1.0::DO
 SELECT * FROM (SELECT src, dst, score, distance, CAST(row_number() OVER (PARTITION BY src ORDER BY distance, n2, dst) AS INTEGER) AS rank FROM f) WHERE rank <= 10""",
     "link_counts": f"{_L} SELECT pg.id, coalesce(inl.n, 0) AS inlinks, coalesce(outl.n, 0) AS outlinks FROM pg LEFT JOIN inl ON inl.id = pg.id LEFT JOIN outl ON outl.id = pg.id",
     "priority_topics": f"{_L} SELECT pg.id, coalesce(inl.n, 0) AS inlinks FROM pg LEFT JOIN inl ON inl.id = pg.id WHERE NOT ambiguous AND entity",
-    "subgraph": f"""{_L}, s AS (SELECT 'C' || c_custkey AS id FROM customer WHERE c_custkey <= 3),
+    "subgraph": f"""{_L}, s AS (SELECT 'C' || c_custkey AS id FROM customer WHERE c_custkey % 20 = 0),
 o AS (SELECT * FROM lk WHERE src IN (SELECT id FROM s)), i AS (SELECT * FROM lk WHERE dst IN (SELECT id FROM s)), w AS (SELECT * FROM lk WHERE src IN (SELECT src FROM i))
 SELECT DISTINCT * FROM (SELECT * FROM o UNION ALL SELECT * FROM i UNION ALL SELECT * FROM w UNION ALL SELECT * FROM lk WHERE dst IN (SELECT dst FROM o UNION SELECT src FROM i UNION SELECT dst FROM w))""",
     "distance_dictionary": f"{_E} SELECT src || '|' || dst AS key, CAST(distance AS VARCHAR) AS value FROM ed",

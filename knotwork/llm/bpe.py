@@ -66,6 +66,7 @@ class Encoder:
         self.bytes = [ranks[bytes([b])] for b in range(256)]
         self.rank_of = ranks
         self.words: dict[str, list[int]] = {}
+        self.sizes: dict[str, int] = {}
         self.find = regex.compile(PATTERN).findall
         self.pairs: dict[tuple[int, int], tuple[int, int]] | None = None
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
@@ -111,9 +112,11 @@ class Encoder:
         known = self.words
         new = {w for words in cut for w in words if w not in known}
         if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = {w for words in cut for w in words}
-        self._learn(new)
+            known = self.words = {w: known[w] for words in cut for w in words if w in known}
+            self.sizes = {w: len(ids) for w, ids in known.items()}
+        if new:
+            self._learn(new)
+            self.sizes.update((w, len(known[w])) for w in new)
         return cut
 
     def encode(self, texts: Iterable[str | None]) -> list[list[int]]:
@@ -125,8 +128,8 @@ class Encoder:
     def lengths(self, texts: Iterable[str | None]) -> list[int]:
         """The number of ids of each text."""
         cut = self.cut(texts)
-        known = self.words
-        return [sum(len(known[w]) for w in words) for words in cut]
+        size = self.sizes.__getitem__
+        return [sum(map(size, words)) for words in cut]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -7,7 +7,6 @@ the fewest penalties, where a cut costs by the kind of its boundary and a piece
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.llm.bpe import DEFAULT_VOCABULARY, Encoder, encoder
+from knotwork.llm.bpe import DEFAULT_VOCABULARY, KEPT_WORDS, Encoder, encoder
+from knotwork.llm.encoding import BATCH_TEXTS
 
 #: Most tokens of a piece, and tokens that it repeats from the piece before.
 MAX_TOKENS = 2000
@@ -26,10 +26,12 @@ PENALTY = {"paragraph": 0.0, "line": 1.0, "sentence": 2.0, "clause": 4.0, "word"
 KINDS = list(PENALTY)
 #: Weight of a piece's squared deviation from an even share.
 IMBALANCE = 3.0
-#: Words become candidates only where no better boundary lies within this part of the limit; likewise characters.
+#: A quarter of this part of the limit is a cell, in which one boundary of the best kind is a candidate.
 GAP_PART = 16
 
-_BREAKS = regex.compile(r"(?P<paragraph>\s*(?:\r?\n[ \t]*){2,})|(?P<line>[ \t]*(?:\r\n|[\n\r\x0b\x0c\x85  ]))|(?P<sentence>(?<=[.!?…][\"'”’)\]]*)\s+|(?<=[。！？][」』）]*))|(?P<clause>(?<=[,;:–—、，；])\s*)|(?P<word>\s+)")
+#: Signs at the end of a unit that end a sentence when a blank follows, or always, and signs that end a clause (fixed values).
+_STOPS, _WIDE_STOPS, _CLAUSE = ".!?…", "。！？", ",;:–—、，；"
+_QUOTES = "\"'”’)]」』）"
 
 PIECES = "doc_id long, piece int, pieces int, start int, end int, tokens int, boundary string"
 
@@ -38,73 +40,106 @@ PIECES = "doc_id long, piece int, pieces int, start int, end int, tokens int, bo
 LONG_WORD, CHUNK = 64, 32
 
 
+#: What a unit says about the boundaries at its ends, as bits; line ends are counted above them.
+_BLANK, _EMPTY, _STOP, _WIDE, _PAUSE, _LINES = 1, 2, 4, 8, 16, 32
+
+
+def _marks(unit: str) -> int:
+    blank = unit[0].isspace()
+    if blank and unit.isspace():
+        return _BLANK | _EMPTY | _LINES * len(_LINE_ENDS.findall(unit))
+    end = unit.rstrip(_QUOTES)[-1:]
+    return (_BLANK if blank else 0) | (_STOP if end and end in _STOPS else _WIDE if end and end in _WIDE_STOPS else _PAUSE if unit[-1] in _CLAUSE else 0)
+
+
+_LINE_ENDS = regex.compile(r"\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]")
+
+
 class _Sized:
     """A text as units (words, or chunks of long words) with the running number of characters and tokens."""
 
     def __init__(self, words: list[str], coder: Encoder, limit: int):
         chunk = max(1, min(CHUNK, limit // 8))
-        units: list[str] = []
-        for w in words:
-            units += [w] if len(w) <= min(LONG_WORD, 2 * chunk) else [w[i : i + chunk] for i in range(0, len(w), chunk)]
-        short = set(words)
-        sizes = dict(zip(rest := [u for u in dict.fromkeys(units) if u not in short], coder.lengths(rest)))
-        self.chars = np.array([0, *accumulate(map(len, units))])
-        self.tokens = np.array([0, *accumulate(sizes[u] if u in sizes else coder.lengths([u])[0] if u not in coder.words else len(coder.words[u]) for u in units)])
-        self.place = {int(c): i for i, c in enumerate(self.chars)}
-
-
-def _candidates(text: str, sized: _Sized, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit ends at which a piece may end, and their kind; the first is 0 and the last the end of the text."""
-    n = len(sized.chars) - 1
+        longest = min(LONG_WORD, 2 * chunk)
+        units = words
+        if any(len(w) > longest for w in set(words)):
+            units = [u for w in words for u in ([w] if len(w) <= longest else [w[i : i + chunk] for i in range(0, len(w), chunk)])]
+            for u in set(units) - coder.sizes.keys():  # a chunk may be cut further by the pattern
+                coder.sizes[u] = coder.lengths([u])[0]
+        marks = coder.__dict__.setdefault("marks", {})
+        if len(marks) > KEPT_WORDS:
+            marks.clear()
+        for u in set(units) - marks.keys():
+            marks[u] = _marks(u)
+        n = len(units)
+        run = lambda f: np.concatenate([[0], np.cumsum(np.fromiter(map(f, units), "int64", n))])
+        self.chars, self.tokens = run(len), run(coder.sizes.__getitem__)
+        self.marks = np.fromiter(map(marks.__getitem__, units), "int64", n)
+
+
+def _kinds(m: np.ndarray) -> np.ndarray:
+    """The kind of the boundary before each unit, and of the end."""
+    n = len(m)
     kind = np.full(n + 1, KINDS.index("character"))
-    for m in _BREAKS.finditer(text):
-        k = KINDS.index(m.lastgroup)
-        # white space goes with what follows, as a word's tokens hold the blank before it; line ends stay with what is before
-        at = sized.place.get(m.end() if k <= 1 else m.start())
-        if at is not None:
-            kind[at] = min(kind[at], k)
-    chosen = np.zeros(n + 1, bool)
-    chosen[kind <= KINDS.index("clause")] = True
+    if n < 2:
+        return kind
+    before, after = m[:-1], m[1:]
+    inner = kind[1:-1]
+    inner[(after & _BLANK) > 0] = KINDS.index("word")
+    inner[(before & _PAUSE) > 0] = KINDS.index("clause")
+    inner[((before & _STOP) > 0) & ((after & _BLANK) > 0) | ((before & _WIDE) > 0)] = KINDS.index("sentence")
+    # line ends in a run of white space are summed; the boundary is after the run
+    lines = np.where(m & _EMPTY, m // _LINES, 0)
+    total = np.cumsum(lines)
+    start = np.maximum.accumulate(np.where(m & _EMPTY, 0, np.arange(n) + 1))  # the unit after the last word
+    run = total - np.where(start > 0, total[start - 1], 0)
+    ended = ((before & _EMPTY) > 0) & ~((after & _EMPTY) > 0)
+    inner[ended & (run[:-1] == 1)] = KINDS.index("line")
+    inner[ended & (run[:-1] > 1)] = KINDS.index("paragraph")
+    return kind
+
+
+def _candidates(sized: _Sized, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit ends at which a piece may end, and their kind; the first is 0 and the last the end of the text.
+
+    White space goes with what follows, as a word's tokens hold the blank before it; line ends stay with what is before.
+    Of every cell of some tokens the last boundary of the best kind is a candidate, and so are all paragraphs and lines.
+    """
+    n = len(sized.marks)
+    kind = _kinds(sized.marks)
+    cell = sized.tokens // max(1, limit // GAP_PART // 4)
+    order = np.lexsort((-np.arange(n + 1), kind, cell))
+    best = order[np.flatnonzero(np.diff(cell[order], prepend=-1))]
+    chosen = kind <= KINDS.index("line")
+    chosen[best] = True
     chosen[[0, n]] = True
-    gap = max(1, limit // GAP_PART)
-    for k in (KINDS.index("word"), KINDS.index("character")):
-        have = np.flatnonzero(chosen)
-        for w in np.flatnonzero(np.diff(sized.tokens[have]) > gap).tolist():
-            inner = np.arange(have[w] + 1, have[w + 1])
-            inner = inner[kind[inner] <= k]
-            cell = (sized.tokens[inner] - sized.tokens[have[w]]) // max(1, gap // 4)
-            chosen[inner[np.diff(cell, prepend=0) > 0]] = True
     have = np.flatnonzero(chosen)
     return have, kind[have]
 
 
-def split_text(text: str, coder: Encoder, limit: int = MAX_TOKENS, overlap: int = OVERLAP) -> list[tuple[int, int, int, str]]:
+def split_text(text: str, coder: Encoder, limit: int = MAX_TOKENS, overlap: int = OVERLAP, words: list[str] | None = None) -> list[tuple[int, int, int, str]]:
     """(start, end, tokens, boundary at the end) of each piece; one piece when the text is within the limit.
 
     Every piece but the first starts at the nearest boundary that lies at least ``overlap`` tokens before the end of the
-    piece before it. Pieces hold at most ``limit`` tokens, counted when the piece is encoded on its own.
+    piece before it. ``words`` are the words of the text where the coder has cut it already. Pieces hold at most ``limit`` tokens, counted when the piece is encoded on its own.
     """
     if not 0 <= overlap < limit / 2:
         raise ValueError("the overlap must be under half of the limit")
-    raw = len(text.encode("utf-8", "surrogatepass"))
-    if raw <= limit:  # a token has a byte at least
-        n = coder.lengths([text])[0]
-        return [(0, len(text), n, "end")]
-    words = coder.cut([text])[0]
-    total = sum(len(coder.words[w]) for w in words)
+    words = coder.cut([text])[0] if words is None else words
+    total = sum(map(coder.sizes.__getitem__, words))
     if total <= limit:
         return [(0, len(text), total, "end")]
     sized = _Sized(words, coder, limit)
     for room in (0, 4, 16, 64, 256):  # cutting can change the tokens next to a cut
-        pieces = _cut(text, sized, limit - min(room, limit // 3), overlap)
+        pieces = _cut(sized, limit - min(room, limit // 3), overlap)
         counts = coder.lengths([text[s:e] for s, e, _ in pieces])
         if max(counts) <= limit:
             break
     return [(s, e, n, k) for (s, e, k), n in zip(pieces, counts)]
 
 
-def _cut(text: str, sized: _Sized, limit: int, overlap: int) -> list[tuple[int, int, str]]:
-    units, kinds = _candidates(text, sized, limit)
+def _cut(sized: _Sized, limit: int, overlap: int) -> list[tuple[int, int, str]]:
+    units, kinds = _candidates(sized, limit)
     places, at = sized.chars[units], sized.tokens[units]
     n = len(places)
     # where the next piece starts when one ends at each place: the last place at least ``overlap`` tokens before
@@ -153,13 +188,14 @@ def split_documents(df: DataFrame, doc_id: Column, text: Column, *, limit: int =
         coder = encoder(vocabulary)
         for batch in batches:
             cols: list[list] = [[] for _ in range(7)]
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if t is None:
-                    continue
-                pieces = split_text(t, coder, limit, overlap)
-                for k, (s, e, n, kind) in enumerate(pieces):
-                    for col, x in zip(cols, (d, k, len(pieces), s, e, n, kind)):
-                        col.append(x)
+            for at in range(0, batch.num_rows, BATCH_TEXTS):
+                part = batch.slice(at, BATCH_TEXTS)
+                texts = part.column(1).to_pylist()
+                for d, t, words in zip(part.column(0).to_pylist(), texts, coder.cut(texts)):  # new words of all texts are learned at once
+                    pieces = split_text(t, coder, limit, overlap, words)
+                    for k, (s, e, n, kind) in enumerate(pieces):
+                        for col, x in zip(cols, (d, k, len(pieces), s, e, n, kind)):
+                            col.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string()))], names=["doc_id", "piece", "pieces", "start", "end", "tokens", "boundary"])
 
     rows = df.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text")).filter(F.col("text").isNotNull())

@@ -13,6 +13,7 @@ from collections.abc import Iterable
 
 import duckdb
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 
 #: The pattern of the byte_bpe_50k vocabulary (fixed value).
@@ -21,6 +22,8 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: Words kept in memory; words of more bytes are contracted with a heap, since each step of the query passes over the whole word.
 KEPT_WORDS = 400_000
+#: Bytes and number of texts that are cut into words at once.
+SPAN_BYTES, SPAN_TEXTS = 4 << 20, 5_000
 LONG_WORD = 200
 
 _CONTRACT = """
@@ -77,9 +80,17 @@ class Encoder:
 
     def _merges(self) -> Iterable[tuple[int, int, int]]:
         """The pair that each token of two bytes and more is made of: what is left of it when all lower ranks are applied."""
-        for token, rank in self.rank_of.items():
-            if len(token) > 1:
-                parts = [token[i : i + 1] for i in range(len(token))]
+        rank_of = self.rank_of
+        for token, rank in rank_of.items():
+            n = len(token)
+            if n == 2:
+                yield rank_of[token[:1]], rank_of[token[1:]], rank
+            elif n > 2:
+                cuts = [(a, b) for i in range(1, n) if (a := rank_of.get(token[:i], rank)) < rank and (b := rank_of.get(token[i:], rank)) < rank]
+                if len(cuts) == 1:
+                    yield *cuts[0], rank
+                    continue
+                parts = [token[i : i + 1] for i in range(n)]
                 while len(parts) > 2:
                     k = min((r, i) for i in range(len(parts) - 1) if (r := self.rank_of.get(parts[i] + parts[i + 1], rank)) < rank)[1]
                     parts[k : k + 2] = [parts[k] + parts[k + 1]]
@@ -110,7 +121,7 @@ class Encoder:
         """The words of each text; all of them are known afterwards."""
         cut = [self.find(t) if t else [] for t in texts]
         known = self.words
-        new = {w for words in cut for w in words if w not in known}
+        new = set().union(*cut) - known.keys()
         if len(known) + len(new) > KEPT_WORDS:
             known = self.words = {w: known[w] for words in cut for w in words if w in known}
             self.sizes = {w: len(ids) for w, ids in known.items()}
@@ -132,6 +143,19 @@ class Encoder:
         return [sum(map(size, words)) for words in cut]
 
 
+def spans(batch: pa.RecordBatch, column: int) -> Iterable[pa.RecordBatch]:
+    """A batch in parts whose texts are cut into words at once: many texts, but not too much of them."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and (total + n > SPAN_BYTES or i - start >= SPAN_TEXTS):
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 _encoders: dict[str, Encoder] = {}
 
 

@@ -8,10 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.llm.bpe import DEFAULT_VOCABULARY, encoder
-
-#: Texts that are cut into words at once.
-BATCH_TEXTS = 500
+from knotwork.llm.bpe import DEFAULT_VOCABULARY, encoder, spans
 
 
 def encode_corpus(df: DataFrame, doc_id: Column, text: Column, *, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -24,8 +21,7 @@ def encode_corpus(df: DataFrame, doc_id: Column, text: Column, *, vocabulary: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                part = batch.slice(at, BATCH_TEXTS)
+            for part in spans(batch, 1):
                 ids = coder.encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -41,8 +37,7 @@ def token_counts(df: DataFrame, text: Column, *keep: Column, vocabulary: str = D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                part = batch.slice(at, BATCH_TEXTS)
+            for part in spans(batch, len(names)):
                 n = coder.lengths(part.column(len(names)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64())], names=[*names, "tokens"])
 

@@ -14,8 +14,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.llm.bpe import DEFAULT_VOCABULARY, KEPT_WORDS, Encoder, encoder
-from knotwork.llm.encoding import BATCH_TEXTS
+from knotwork.llm.bpe import DEFAULT_VOCABULARY, KEPT_WORDS, Encoder, encoder, spans
 
 #: Most tokens of a piece, and tokens that it repeats from the piece before.
 MAX_TOKENS = 2000
@@ -75,6 +74,24 @@ class _Sized:
         run = lambda f: np.concatenate([[0], np.cumsum(np.fromiter(map(f, units), "int64", n))])
         self.chars, self.tokens = run(len), run(coder.sizes.__getitem__)
         self.marks = np.fromiter(map(marks.__getitem__, units), "int64", n)
+        self.whole = units is words
+
+    def counts(self, text: str, pieces: list[tuple[int, int]], coder: Encoder) -> list[int]:
+        """Tokens of pieces (by units) that are encoded on their own.
+
+        The pattern never looks back, so between word bounds only white space at the end of a piece is cut otherwise than
+        in the whole text. Texts with chunks of long words are encoded piece by piece.
+        """
+        if not self.whole:
+            return coder.lengths([text[self.chars[s] : self.chars[e]] for s, e in pieces])
+        out = []
+        for s, e in pieces:
+            j = e
+            while j > s and self.marks[j - 1] & _EMPTY:
+                j -= 1
+            n = int(self.tokens[j] - self.tokens[s])
+            out.append(n + (coder.lengths([text[self.chars[j] : self.chars[e]]])[0] if j < e else 0))
+        return out
 
 
 def _kinds(m: np.ndarray) -> np.ndarray:
@@ -132,16 +149,17 @@ def split_text(text: str, coder: Encoder, limit: int = MAX_TOKENS, overlap: int
     sized = _Sized(words, coder, limit)
     for room in (0, 4, 16, 64, 256):  # cutting can change the tokens next to a cut
         pieces = _cut(sized, limit - min(room, limit // 3), overlap)
-        counts = coder.lengths([text[s:e] for s, e, _ in pieces])
+        counts = sized.counts(text, [(s, e) for s, e, _ in pieces], coder)
         if max(counts) <= limit:
             break
-    return [(s, e, n, k) for (s, e, k), n in zip(pieces, counts)]
+    return [(int(sized.chars[s]), int(sized.chars[e]), int(n), k) for (s, e, k), n in zip(pieces, counts)]
 
 
 def _cut(sized: _Sized, limit: int, overlap: int) -> list[tuple[int, int, str]]:
+    """(first unit, unit after the last, boundary at the end) of each piece."""
     units, kinds = _candidates(sized, limit)
-    places, at = sized.chars[units], sized.tokens[units]
-    n = len(places)
+    at = sized.tokens[units]
+    n = len(units)
     # where the next piece starts when one ends at each place: the last place at least ``overlap`` tokens before
     back = np.searchsorted(at, at - overlap, "right") - 1
     back = np.maximum(np.minimum(back, np.arange(n) - 1), 0) if overlap else np.arange(n)
@@ -171,8 +189,8 @@ def _cut(sized: _Sized, limit: int, overlap: int) -> list[tuple[int, int, str]]:
     ends.reverse()
     out, before = [], 0
     for j in ends:
-        start = int(places[back[before]]) if before else 0
-        out.append((start, int(places[j]), "end" if j == n - 1 else KINDS[kinds[j]]))
+        start = int(units[back[before]]) if before else 0
+        out.append((start, int(units[j]), "end" if j == n - 1 else KINDS[kinds[j]]))
         before = j
     return out
 
@@ -188,8 +206,7 @@ def split_documents(df: DataFrame, doc_id: Column, text: Column, *, limit: int =
         coder = encoder(vocabulary)
         for batch in batches:
             cols: list[list] = [[] for _ in range(7)]
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                part = batch.slice(at, BATCH_TEXTS)
+            for part in spans(batch, 1):
                 texts = part.column(1).to_pylist()
                 for d, t, words in zip(part.column(0).to_pylist(), texts, coder.cut(texts)):  # new words of all texts are learned at once
                     pieces = split_text(t, coder, limit, overlap, words)

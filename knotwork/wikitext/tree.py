@@ -152,12 +152,16 @@ class _Parser:
         params: dict = {"": first[0] if first and isinstance(first[0], str) else ""}
         number = 0
         while i < len(self.tokens) and self.kind(i) == "bar":
-            name, j, after = self.sections(i + 1, self._after(i, at), ("bar", "equals", end), depth + 1, trim=True)
-            if j < len(self.tokens) and self.kind(j) == "equals" and len(name) <= 1 and all(isinstance(x, str) for x in name):
-                value, j, after = self.sections(j + 1, self.tokens[j].end(), ("bar", end), depth + 1, trim=True)
-                key = name[0] if name else ""
-            else:
-                value, j, after = self.sections(i + 1, self._after(i, at), ("bar", end), depth + 1, trim=True)
+            value, j, after = self.sections(i + 1, self._after(i, at), ("bar", "equals", end), depth + 1, trim=True)
+            key = None
+            if j < len(self.tokens) and self.kind(j) == "equals":
+                rest, k, after = self.sections(j + 1, self.tokens[j].end(), ("bar", end), depth + 1, trim=True)
+                if len(value) <= 1 and all(isinstance(x, str) for x in value):
+                    key, value = (value[0] if value else ""), rest
+                else:
+                    value = [*value, "=", *rest]
+                j = k
+            if key is None:
                 number += 1
                 key = str(number)
             if key:

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,24 @@ def get_spark(app: str = "knotwork", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's code to all executors of the application, once; they need no copy of it on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="knotwork-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{root.name}.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(f"{folder}/{root.name}.zip")
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

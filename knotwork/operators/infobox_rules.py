@@ -115,3 +115,17 @@ def parse_rules(text: str = RULES) -> dict[tuple[str, str], dict]:
         alternatives = [tuple(o.split(" => ", 1)) for o in others]
         out[box, param] = {"category": category, "subcategory": None if subcategory == "-" else subcategory, "distance": int(near), "reverse": int(far), "sentence": sentence, "alternatives": alternatives}
     return out
+
+
+def rules_from_csv(lines: list[str]) -> str:
+    """Rules as text from CSV lines: box, parameter, category, subcategory, distance, reverse, sentence.
+
+    Rows without a sentence are left out and boxes are lower-cased. The lines are a parameter table, not data.
+    """
+    import csv
+
+    out = []
+    for row in csv.reader(lines):
+        if len(row) >= 7 and row[6].strip() and row[4].strip().lstrip("-").isdigit():
+            out.append(" ~ ".join([row[0].strip().lower(), row[1].strip(), row[2].strip(), row[3].strip() or "-", row[4].strip(), row[5].strip(), row[6].strip()]))
+    return "\n".join(out)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from knotwork.functions import text as X
 from knotwork.functions import titles as T
 from knotwork.operators import directory, extraction, spotting
+from knotwork.plans import jobs
 from knotwork.runtime import shared_folder
 from knotwork.sources import readers
 from knotwork.sources.tables import table
@@ -139,6 +140,11 @@ def source_links(spark: SparkSession, d: str) -> DataFrame:
     return readers.dump_links(_sources(spark, d).select("title", F.col("content").alias("text")).filter("text is not null"))
 
 
+def graph_build(spark: SparkSession, d: str) -> DataFrame:
+    """Relations of the concept graph that all page sources give."""
+    return jobs.build_graph(_sources(spark, d).select("title", F.col("content").alias("text")))["relations"]
+
+
 def directory_relations(spark: SparkSession, d: str) -> DataFrame:
     """Relations of directory records that are made of suppliers, their nations and parts."""
     s, n = table(spark, d, "supplier", "s_suppkey", "s_name", "s_nationkey"), table(spark, d, "nation", "n_nationkey", "n_name")
@@ -192,4 +198,4 @@ SELECT DISTINCT title, target FROM l WHERE NOT regexp_matches(title, '[:#]|disam
     "token_index": r"SELECT DISTINCT unnest([t FOR t IN string_split_regex(lower(title), '[^\p{L}\p{N}]+') IF t <> '']) AS term, page_id FROM (SELECT DISTINCT page_id, title FROM page_nodes)",
 }
 
-QUERIES = {f.__name__: f for f in (title_filter, clean_text, names, url_codec, web_site, image_path, date_render, entity_classes, topic_suggest, listing_pages, alias_table, entity_spotting, concept_frequency, near_spellings, phase1, parsed_pages, flat_links, plain_pages, source_links, directory_relations, stream_event_counts, token_index)}
+QUERIES = {f.__name__: f for f in (title_filter, clean_text, names, url_codec, web_site, image_path, date_render, entity_classes, topic_suggest, listing_pages, alias_table, entity_spotting, concept_frequency, near_spellings, phase1, parsed_pages, flat_links, plain_pages, source_links, graph_build, directory_relations, stream_event_counts, token_index)}

@@ -243,3 +243,24 @@ def useful_parse(text: str | None, title: str = "") -> tuple[list | None, str |
         return parse_sections(preprocess(text, title or "")), None
     except RecursionError:
         return None, "nested too deeply"
+
+
+def render(sections: list, indent: int = 0) -> str:
+    """A section tree as indented lines, for people to read."""
+    out = []
+    for s in sections:
+        if isinstance(s, str):
+            out.append(" " * indent + "text " + repr(s))
+            continue
+        plain = {k: v for k, v in s.items() if k != "type" and not isinstance(v, (list, dict))}
+        out.append(" " * indent + s["type"] + "".join(f" {k}={v!r}" for k, v in plain.items()))
+        for k, v in s.items():
+            if isinstance(v, dict):
+                for name, value in v.items():
+                    out.append(" " * (indent + 1) + f"{name}:")
+                    out.append(render(value if isinstance(value, list) else [value], indent + 2))
+            elif isinstance(v, list):
+                for x in v:
+                    cells = x if isinstance(x, list) else [x]
+                    out.append(render([c if isinstance(c, str) else {"type": "cell", **c} if "type" not in c else c for c in cells], indent + 1))
+    return "\n".join(out)

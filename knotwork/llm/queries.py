@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knotwork.llm import encoding, linkage, markup, mixture, splitting, survivor
+from knotwork.llm.bodies import NOTHING
 from knotwork.sources.tables import table
 
 
@@ -65,6 +66,20 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_pieces(spark, d).filter("pieces > 1 and piece = 0").select("doc_id")
 
 
-SQL: dict[str, str] = {}
+_NOTHING = ", ".join("'" + " ".join("".join(c if c.isalnum() else " " for c in x).split()) + "'" for x in NOTHING)
+_WORDS = r"trim(regexp_replace(lower({c}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+_REAL = f"{_WORDS} <> '' AND {_WORDS} NOT IN ({_NOTHING})"
+
+SQL: dict[str, str] = {
+    "p7_found": f"""
+WITH r AS (SELECT DISTINCT concept_row, graph, lower(trim(replace(concept_key, '_', ' '))) AS k, source, body, updated_at FROM concept_docs),
+g AS (SELECT graph, k, min(concept_row) AS group_row FROM r GROUP BY 1, 2 HAVING count(*) > 1),
+m AS (SELECT group_row, concept_row, updated_at, coalesce(trust, -1) AS trust, body FROM r JOIN g ON g.graph = r.graph AND g.k = r.k LEFT JOIN source_trust t ON t.source = r.source WHERE json_valid(body) AND json_type(body) = 'OBJECT'),
+c AS (SELECT *, 'common_name' AS field, length(trim(x)) AS size FROM (SELECT * EXCLUDE (body), body->>'$.common_name' AS x FROM m WHERE json_type(body, '$.common_name') = 'VARCHAR') WHERE {_REAL.format(c='x')}
+ UNION ALL SELECT *, 'descriptions', length(x) FROM (SELECT * EXCLUDE (body), unnest(CASE json_type(body, '$.descriptions') WHEN 'ARRAY' THEN CAST(body->'$.descriptions' AS JSON[]) ELSE [] END)->>'$.text' AS x FROM m) WHERE {_REAL.format(c='x')}
+ UNION ALL SELECT *, 'edges', 1 FROM (SELECT * EXCLUDE (body), unnest(json_keys(body, '$.edges')) AS x FROM m WHERE json_type(body, '$.edges') = 'OBJECT') WHERE {_REAL.format(c='x')}),
+s AS (SELECT group_row, field, concept_row, updated_at, trust, sum(size) AS size FROM c GROUP BY ALL)
+SELECT group_row, field, concept_row AS winner_row FROM s WINDOW w AS (PARTITION BY group_row, field) QUALIFY updated_at = max(updated_at) OVER w AND trust = max(trust) OVER w AND size = max(size) OVER w""",
+}
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_clean, p5_found, p5_confidence, p7_found, p8_ids, p9_mixture, p9_shares, p10_pieces, p10_found)}

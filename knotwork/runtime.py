@@ -115,10 +115,13 @@ def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> tuple[Data
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join a large skewed ``left`` to ``right`` with unique keys; hot keys of ``left`` are salted and their rows on the right repeated.
 
-    Null keys match nothing and are spread over all tasks. Column names of both sides must differ.
+    Null keys match nothing; in a left join their rows pass by the join. Column names of both sides must differ.
     """
     if estimated_bytes(right) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], how)
+    if how == "left":  # rows without a key would all meet in one task
+        nulls = left.filter(left[left_key].isNull()).select(*left.columns, *(F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields))
+        return lookup_join(left.filter(left[left_key].isNotNull()), right, left_key, right_key, "left_outer", hot_rows).unionByName(nulls)
     hot, _ = hot_keys(left, F.col(left_key), hot_rows)
     if hot is None:
         return left.join(right, left[left_key] == right[right_key], how)

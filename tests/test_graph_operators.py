@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
 
 import pytest
@@ -10,6 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from knotwork.operators import concepts, graph, links, merging, pairs, resolving
+from knotwork.plans import catalog_graph, catalog_links
 from knotwork.runtime import hot_keys, lookup_join
 
 
@@ -80,6 +82,20 @@ def test_shortest_chain_against_bellman_ford(spark, seed):
     assert set(told) == set(expected) and all('"payload"' in t for t in told.values())
 
 
+def test_chain_queries_take_all_hops(spark, data):
+    edges = [tuple(r) for r in catalog_graph._edges(spark, data).select("src", "dst", "weight").collect()]
+    ids = {r["id"] for r in catalog_links.pages(spark, data).collect()}
+    expected = {}
+    for q in (int(i[1:]) for i in ids if i[0] == "C" and int(i[1:]) % 20 == 0 and f"C{int(i[1:]) + 1}" in ids):
+        for_a, for_b = bellman(edges, {f"C{q}": 0}, 7), bellman(edges, {f"C{q + 1}": 0}, 7)
+        both = [for_a[x] + for_b[x] for x in for_a.keys() & for_b.keys()]
+        if both:
+            expected[q] = min(both)
+    assert dict(rows(catalog_graph.shortest_chain_full(spark, data))) == expected
+    told = {r["query"]: json.loads(r["response"])["payload"]["edges"] for r in catalog_graph.chain_responses(spark, data).collect()}
+    assert {q: sum(e["distance"] for e in t) for q, t in told.items()} == expected
+
+
 def test_page_chain_avoids_popular_pages(spark):
     df = spark.createDataFrame([("a", "hub"), ("hub", "b"), ("x", "hub"), ("y", "hub"), ("a", "m"), ("m", "n"), ("n", "b")], "src string, dst string")
     got = graph.page_chains(df, spark.createDataFrame([(1, "a", "b"), (2, "a", "nowhere"), (3, None, "b")], "query int, a string, b string"))

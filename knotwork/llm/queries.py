@@ -19,9 +19,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_clean(spark: SparkSession, d: str) -> DataFrame:
-    """Clean text of every page content."""
+    """Clean text of every page content and link alias."""
     pages = table(spark, d, "raw_pages", "page_id", "content").dropDuplicates(["page_id"])
-    return markup.clean_documents(pages, F.col("page_id"), F.col("content")).withColumnRenamed("row_id", "page_id")
+    links = table(spark, d, "wiki_links", "link_id", "alias").dropDuplicates(["link_id"])
+    pages = markup.clean_documents(pages, F.col("page_id"), F.col("content")).withColumn("src", F.lit("raw_pages"))
+    both = pages.unionByName(markup.clean_documents(links, F.col("link_id"), F.col("alias")).withColumn("src", F.lit("wiki_links")))
+    return both.select("src", "row_id", "text")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from knotwork.llm import markup
+from knotwork.llm import markup, queries
 
 
 def elements(text):
@@ -63,3 +63,11 @@ def test_operators(spark):
     assert rows(got.filter("row_id < 6")) == [(1, "heading"), (1, "markup")] and got.filter("row_id = 6 and element = 'markup'").count() == 1
     assert markup.find_elements(df.limit(0), F.col("id"), F.col("text")).count() == 0
     assert markup.clean_documents(df.filter("id < 6"), F.col("id"), F.col("text")).count() == 6
+
+
+def test_clean_query_takes_pages_and_aliases(spark, data):
+    got = queries.p2_clean(spark, data)
+    assert got.columns == ["src", "row_id", "text"]
+    for src, row, text in (("raw_pages", "page_id", "content"), ("wiki_links", "link_id", "alias")):
+        given = spark.read.parquet(f"{data}/{src}.parquet").select(row, text).distinct().collect()
+        assert rows(got.filter(F.col("src") == src), "row_id", "text") == sorted(((r[0], markup.clean_text(r[1])) for r in given), key=str)

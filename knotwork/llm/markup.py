@@ -77,6 +77,9 @@ class Block:
     blank_before: bool = False
     blank_after: bool = False
     held: str = ""
+    #: The text with a mark (two zero bytes around a number) at the place of each region, and what the regions hold.
+    marked: str = ""
+    regions: tuple[tuple[str, int, str], ...] = ()
 
 
 def blocks_of(text: str) -> list[Block]:
@@ -96,9 +99,10 @@ def blocks_of(text: str) -> list[Block]:
             if out:
                 out[-1].blank_after = True
             continue
-        b = Block(line, blank_before=blank)
+        b = Block(line, blank_before=blank, marked=line)
         for i in re.findall(r"\x00(\d+)\x00", line):
             kind, body = held[int(i)]
+            b.regions += ((i, kind, body),)
             b.held += body
             if kind == _CODE:
                 b.code += 1
@@ -266,15 +270,68 @@ def _plain(text: str) -> str:
     return re.sub(r"[ \t\xa0]+", " ", html.unescape(text)).strip()
 
 
-def _formula(b: Block) -> str:
-    m = re.search(r"<math\b[^>]*>(.*?)</math\s*>|\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\begin\{\w+\*?\}(.*?)\\end\{\w+\*?\}", b.held, re.S | re.I)
-    return " ".join((re.sub(r"<[^<>]*>", "", next(g for g in m.groups() if g is not None)) if m else b.held).split())
+#: Inline formulas: {{math|x}}, \(x\) and $x$ as _INLINE_MATH finds them.
+_INLINE = re.compile(r"\{\{\s*(?:math|mvar)\s*\|(?P<t>(?:[^{}]++|(?P<g>\{(?:[^{}]++|(?&g))*+\}))*+)\}\}|\\\((?P<p>.+?)\\\)|(?<![\w$\\])\$(?=[^\s$])(?P<d>(?:[^$\n]*[^\s$\\])?)\$(?![\d$])", re.I)
+_NOWIKI = re.compile(r"<nowiki\b[^>]*>(.*)</nowiki\s*>", re.S | re.I)
+_DISPLAYED = re.compile(r"<math\b[^>]*>(.*)</math\s*>|\$\$(.+)\$\$|\\\[(.+)\\\]|\\begin\{\w+\*?\}(.*)\\end\{\w+\*?\}", re.S | re.I)
+_MARK = re.compile(r"\x00(\d+)\x00")
+
+
+def _formula(region: str) -> str:
+    m = _DISPLAYED.fullmatch(region)
+    return "$" + " ".join((re.sub(r"</?[a-zA-Z][^<>]*>", "", next(g for g in m.groups() if g is not None)) if m else region).split()) + "$"
+
+
+def _hold(b: Block, in_place: bool) -> tuple[str, dict[str, str], list[str]]:
+    """The line of a block with marks for what is kept as it stands, what the marks hold, and the formulas that follow the line.
+
+    Kept are texts within nowiki and inline formulas, and with ``in_place`` displayed formulas too; else these follow.
+    """
+    kept: dict[str, str] = {}
+    after: list[str] = []
+    kinds = {i: (kind, body) for i, kind, body in b.regions}
+
+    def region(m) -> str:
+        kind, body = kinds[m.group(1)]
+        if kind == _RAW and (text := _NOWIKI.fullmatch(body)):
+            kept[m.group(1)] = html.unescape(text.group(1))
+        elif kind == _MATH and in_place:
+            kept[m.group(1)] = _formula(body)
+        else:
+            after.extend([_formula(body)] if kind == _MATH else [])
+            return " "
+        return m.group(0)
+
+    def inline(m) -> str:
+        if m.group("t") is not None:
+            body = html.unescape(re.sub(r"'{2,5}|^\s*1\s*=\s*", "", m.group("t")))
+        else:
+            body = m.group("p") if m.group("p") is not None else m.group("d")
+        mark = str(10**9 + len(kept))  # beyond the numbers of regions
+        kept[mark] = f"${' '.join(body.split())}$"
+        return f"\x00{mark}\x00"
+
+    return _INLINE.sub(inline, _MARK.sub(region, b.marked)), kept, after
+
+
+def _put_back(text: str, kept: dict[str, str]) -> str:
+    while _MARK.search(text):  # a formula may hold a nowiki region
+        text = _MARK.sub(lambda m: kept[m.group(1)], text)
+    return text
+
+
+def _unclosed(depths: list[int]) -> list[bool]:
+    """For each block, whether a template or table that it opens outside of others is never closed; ``depths``: brackets opened less those closed in each."""
+    total = np.cumsum([0, *depths])
+    least = np.minimum.accumulate(total[::-1])[::-1]
+    return [bool(least[i + 1] > total[i]) for i in range(len(depths))]
 
 
 def clean_text(text: str | None) -> str | None:
-    """Text without markup: headings as '# x', list items as '- x', code blocks fenced, displayed formulas as $x$.
+    """Text without markup: headings as '# x', list items as '- x', code blocks fenced, formulas as $x$, nowiki texts as they stand.
 
-    Null for null. Redirect lines, tables, templates, comments and files are left out.
+    Null for null. Redirect lines, tables, templates, comments and files are left out; a template or table that is never
+    closed ends at the next blank line. Displayed formulas of a line of text follow it; all other formulas keep their place.
     """
     return clean_texts([text])[0]
 
@@ -288,27 +345,30 @@ def clean_texts(texts: list[str | None]) -> list[str | None]:
             out.append(None)
             continue
         parts: list[tuple[str, str]] = []
-        depth = 0
-        for b, h in zip(blocks, hit):
+        lines = [_hold(b, bool(h[col["heading"]] or h[col["list"]])) for b, h in zip(blocks, hit)]
+        opened = [0 if h[col["code"]] and b.code else line.count("{{") - line.count("}}") + line.count("{|") - len(re.findall(r"^\s*\|\}", line)) for b, h, (line, _, _) in zip(blocks, hit, lines)]
+        depth, open_end = 0, False
+        for b, h, (line, kept, after), more, unclosed in zip(blocks, hit, lines, opened, _unclosed(opened)):
+            if b.blank_before and open_end:
+                depth, open_end = 0, False
             if h[col["code"]] and b.code:
                 body = re.sub(r"^\s*(?:<[^<>]*>\s*)+|(?:<[^<>]*>\s*)+$|^\s*(?:```|~~~)[^\n]*\n|\n?\s*(?:```|~~~)\s*$|\\(?:begin|end)\{[^{}]*\}", "", b.held).strip("\n")
                 parts.append(("code", "```\n" + body + "\n```"))
                 continue
-            depth += b.text.count("{{") - b.text.count("}}") + b.text.count("{|") - len(re.findall(r"^\s*\|\}", b.text))
-            if depth > 0 or re.match(r"\s*(?:\}\}|\|\}|\{\||\|[-+]|\|\s|!\s|#\s*redirect\b|\|.*\|\s*$)", b.text, re.I) or _SIGNS["underline"].match(b.text) or _SIGNS["rule"].match(b.text):
+            open_end = open_end or (depth <= 0 and unclosed)
+            depth += more
+            if depth > 0 or re.match(r"\s*(?:\}\}|\|\}|\{\||\|[-+]|\|\s|!\s|#\s*redirect\b|\|.*\|\s*$)", line, re.I) or _SIGNS["underline"].match(b.text) or _SIGNS["rule"].match(b.text):
                 depth = max(depth, 0)
                 continue
-            line = b.text
+            depth, open_end = 0, False
             if h[col["heading"]]:
-                plain = _plain(re.sub(r"^[\s=#]+|[\s=#]+$", "", re.sub(r"\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?\{([^{}]*)\}", r"\1", line)))
+                plain = _put_back(_plain(re.sub(r"^[\s=#]+|[\s=#]+$", "", re.sub(r"\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?\{([^{}]*)\}", r"\1", line))), kept)
                 parts += [("heading", f"# {plain}")] if plain else []
             elif h[col["list"]]:
                 items = [x for x in re.split(r"<(?:li|dt|dd)\b[^<>]*>|\\item\b", line, flags=re.I)]
-                parts += [("list", f"- {p}") for x in items if (p := _plain(re.sub(r"^\s*(?:[*#;:+-]+|\d+[.)])\s*", "", x)))]
+                parts += [("list", f"- {_put_back(p, kept)}") for x in items if (p := _plain(re.sub(r"^\s*(?:[*#;:+-]+|\d+[.)])\s*", "", x)))]
             else:
-                plain = _plain(line)
-                if b.math:
-                    plain = f"{plain} ${_formula(b)}$".strip()
+                plain = " ".join([p for p in [_put_back(_plain(line), kept)] if p] + after)
                 parts += [("text", plain)] if plain else []
         joined = ""
         for k, (kind, part) in enumerate(parts):

@@ -71,3 +71,22 @@ def test_clean_query_takes_pages_and_aliases(spark, data):
     for src, row, text in (("raw_pages", "page_id", "content"), ("wiki_links", "link_id", "alias")):
         given = spark.read.parquet(f"{data}/{src}.parquet").select(row, text).distinct().collect()
         assert rows(got.filter(F.col("src") == src), "row_id", "text") == sorted(((r[0], markup.clean_text(r[1])) for r in given), key=str)
+
+
+@pytest.mark.parametrize(("source", "clean"), [
+    ("so {{math|''a'' + b}} and {{math|\\frac{p}{q}}} hold", "so $a + b$ and $\\frac{p}{q}$ hold"),
+    ("as $\\frac{a}{b}$ and \\(\\sqrt{x_1}\\) show", "as $\\frac{a}{b}$ and $\\sqrt{x_1}$ show"),
+    ("see <nowiki>* [[x]] {{y}}</nowiki> here", "see * [[x]] {{y}} here"),
+    ("by <math>x</math> and <math>y < z</math>", "by and $x$ $y < z$"),
+    ("== On <math>x^2</math> sums ==\nwords\n* one <math>a_1</math> more\n* two $\\beta$ more", "# On $x^2$ sums\n\nwords\n\n- one $a_1$ more\n- two $\\beta$ more"),
+    ("one\n\n{{open|a\n| b\n\ntwo\n\n{| class=x\n| c\n\nthree", "one\n\ntwo\n\nthree"),
+    ("one\n\n{{closed|a\n\n| b\n}}\ntwo", "one\n\ntwo"),
+    ("paid $5 or $6 only", "paid $5 or $6 only"),
+])
+def test_clean_text_keeps_formulas_and_visible_text(source, clean):
+    assert markup.clean_text(source) == clean
+
+
+def test_clean_text_of_broken_texts():
+    for text in ("{{math|" * 500, "$" * 5000 + "\\(" * 2000, "{{\n\n" * 20_000, "{{math|{" * 2000, "<nowiki>{{math|x</nowiki>}}"):
+        assert isinstance(markup.clean_text(text), str)

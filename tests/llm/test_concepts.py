@@ -85,6 +85,17 @@ def test_common_names_make_no_candidates(spark):
     assert got.count() == 30 and got.agg(F.max("names_shared")).first()[0] == 0
 
 
+def test_names_of_common_words_count(spark):
+    names = [f"{a} {b}" for a in ("mill", "port", "lake", "oak", "hill") for b in ("red", "blue", "old", "new", "far")]
+    records = [(i * 2 + j, side, n, "s", json.dumps({"common_name": n, "aliases": ["same"]}), None) for i, n in enumerate(names) for j, side in enumerate(("base", "add"))]
+    entities, _ = linkage.entities_of(spark.createDataFrame(records, SCHEMA), common=4)
+    assert all("same" in r["names"] and len(r["names"]) == 2 for r in entities.collect())
+    got = linkage.candidates(entities, "base", "add", common=4)
+    assert got.count() == 25 and got.agg(F.min("names_shared")).first()[0] == 1
+    unnamed = got.withColumn("names_shared", F.lit(0).cast("long"))
+    assert rows(linkage.votes_on(unnamed, entities).select("name").distinct()) == [(1,)]
+
+
 def test_label_model_finds_the_classes():
     rng = np.random.default_rng(3)
     y = rng.random(4000) < 0.3

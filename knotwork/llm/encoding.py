@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.llm.bpe import DEFAULT_VOCABULARY, encoder, spans
+from knotwork.llm.bpe import DEFAULT_VOCABULARY, encoder, share, spans
 
 
 def encode_corpus(df: DataFrame, doc_id: Column, text: Column, *, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -18,6 +18,8 @@ def encode_corpus(df: DataFrame, doc_id: Column, text: Column, *, vocabulary: st
     they are given. Texts of any length are encoded whole.
     """
 
+    share(df.sparkSession, vocabulary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:
@@ -34,6 +36,8 @@ def token_counts(df: DataFrame, text: Column, *keep: Column, vocabulary: str = D
     names = kept.columns[:-1]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]) + ", tokens long"
 
+    share(df.sparkSession, vocabulary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         for batch in batches:

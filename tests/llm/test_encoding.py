@@ -47,6 +47,13 @@ def test_same_ids_for_any_text(coder, other, text):
     assert coder.encode([text]) == [other(text)]
 
 
+def test_long_words_take_the_same_way(coder, other):
+    random.seed(5)
+    letters = "".join(random.choice("etaoinshrdlu") for _ in range(10_000))
+    for word in (letters, "ab" * 5000, "a" * 10_001, "".join(random.choice("0123456789") for _ in range(2500)), "-" * 5001, "東京都は日本の" * 600):
+        assert coder.encode([word]) == [other(word)]
+
+
 def test_forgetting_words(coder, monkeypatch, other):
     monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
     fresh = bpe.Encoder(VOCABULARY)

@@ -138,10 +138,15 @@ class Encoder:
         if len(known) + len(new) > KEPT_WORDS:
             known = self.words = {w: known[w] for words in cut for w in words if w in known}
             self.sizes = {w: len(ids) for w, ids in known.items()}
+        self.know(new)
+        return cut
+
+    def know(self, words: set[str]) -> None:
+        """Learn those words of the pattern that are not known."""
+        new = words - self.words.keys()
         if new:
             self._learn(new)
-            self.sizes.update((w, len(known[w])) for w in new)
-        return cut
+            self.sizes.update((w, len(self.words[w])) for w in new)
 
     def encode(self, texts: Iterable[str | None]) -> list[list[int]]:
         """The ids of each text; none for empty and null texts."""

@@ -157,6 +157,49 @@ def test_dynamic_programme_is_optimal(coder):
     assert abs(sum(cost(a, b) for a, b in zip(ends, ends[1:])) - best) < 1e-9
 
 
+@pytest.mark.parametrize("overlap_part", [0, 3])
+@pytest.mark.parametrize("limit", [8, 20, 50, 400, 2000])
+@pytest.mark.parametrize("kind", ["emoji", "letters", "signs", "lines", "mixed"])
+def test_every_piece_keeps_to_the_limit(coder, other, kind, limit, overlap_part):
+    random.seed(9)
+    emoji = "".join(chr(random.randrange(0x1F300, 0x1F64F)) for _ in range(1500))
+    letters = "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6000))
+    signs = "".join(chr(random.randrange(0x4E00, 0x9000)) for _ in range(2500))
+    text = {"emoji": emoji, "letters": letters, "signs": signs, "lines": "\n" * 3000, "mixed": emoji[:300] + letters[:900] + "\n\n" + signs[:300] + " word" * 200}[kind]
+    overlap = limit // overlap_part if overlap_part else 0
+    check(text, splitting.split_text(text, coder, limit, overlap), other, limit, overlap)
+
+
+def test_a_sign_over_the_limit(coder):
+    with pytest.raises(ValueError):
+        splitting.split_text("\U0001f9ff" * 5, coder, 1, 0)
+
+
+def test_queue_of_starts_finds_the_least_cost(coder):
+    """Against the plain programme over all pairs of boundaries, with overlap."""
+    import numpy as np
+
+    random.seed(6)
+    words = ["one", " two", ",", " three", ".", " Four", "\n", "\n\n", " fifteen", ";", " sixteenth"]
+    for _ in range(40):
+        sized = splitting._Sized([random.choice(words) for _ in range(random.randrange(60, 300))], coder, 64)
+        limit = random.choice([20, 37, 64])
+        overlap = random.choice([0, limit // 7, limit // 3])
+        kinds, at = splitting._kinds(sized.marks), sized.tokens
+        if at[-1] <= limit:
+            continue
+        penalty = np.array([splitting.PENALTY[k] for k in splitting.KINDS])[kinds]
+        penalty[-1] = 0
+        even = at[-1] / -(-at[-1] // (limit - overlap))
+        share = lambda a, b: 1e-3 + splitting.IMBALANCE * ((at[b] - at[a]) / even - 1) ** 2
+        start = np.maximum(np.minimum(np.searchsorted(at, at - overlap, "right") - 1, np.arange(len(at)) - 1), 0) if overlap else np.arange(len(at))
+        cost = np.zeros(len(at))
+        for j in range(1, len(at)):
+            cost[j] = penalty[j] + min(cost[i] + share(i, j) for i in range(j) if at[j] - at[start[i]] <= limit and (i == 0 or start[i] > 0))
+        ends = [0, *(e for _, e, _ in splitting._cut(sized, limit, overlap))]
+        assert abs(sum(share(a, b) + penalty[b] for a, b in zip(ends, ends[1:])) - cost[-1]) < 1e-6
+
+
 def test_documents(spark):
     df = spark.createDataFrame([(1, "word " * 50), (2, None), (3, ""), (1, "word " * 50), (4, "Long text. " * 9000)], "d long, t string").withColumn("pieces", F.lit(0))
     got = splitting.split_documents(df, F.col("d"), F.col("t"), vocabulary=VOCABULARY)

@@ -96,6 +96,49 @@ def test_names_of_common_words_count(spark):
     assert rows(linkage.votes_on(unnamed, entities).select("name").distinct()) == [(1,)]
 
 
+def word_world(n: int, vocabulary: int, seed: int, strangers: float = 0.2):
+    """Pairs with nothing in common but a unique name of two words of a small vocabulary, and records of one side with such names."""
+    random.seed(seed)
+    words = sorted({"".join(random.choice("bdfgklmnprstvz") + random.choice("aeiou") for _ in range(4)) for _ in range(vocabulary)})
+    names = random.sample([f"{a} {b}" for a in words for b in words if a < b], n)
+    both = int(n * (1 - strangers))
+    records = [(i * 2 + j, side, f"{name} {j}{i}", "s", json.dumps({"common_name": name}), None) for i, name in enumerate(names) for j, side in enumerate(("base", "add")) if i < both or i % 2 == j]
+    return records, {(i * 2, i * 2 + 1) for i in range(both)}
+
+
+@pytest.mark.parametrize(("n", "vocabulary"), [(1500, 60), (300, 60), (1500, 400)])
+def test_unique_names_of_common_words_are_linked(spark, n, vocabulary):
+    """Every word is held by far more classes than a block may have; recall does not fall as that grows."""
+    records, pairs = word_world(n, vocabulary, 3)
+    got = {(r["row_lo"], r["row_hi"]) for r in linkage.link_rows(spark.createDataFrame(records, SCHEMA)).collect()}
+    assert len(got & pairs) / len(pairs) > 0.95 and len(got & pairs) / len(got) > 0.9
+
+
+def test_common_values_split_the_blocks_of_each_other(spark):
+    """One name for all and edges of twelve kinds: only three edges together single out few."""
+    from itertools import combinations as sets
+
+    triples = list(sets(range(12), 3))
+    records = [(i * 2 + j, side, f"k{i * 2 + j}", "s", json.dumps({"common_name": "same", "aliases": [f"n{j}{i}"], "edges": {f"e{x}": {} for x in t}}), None) for i, t in enumerate(triples) for j, side in enumerate(("base", "add"))]
+    entities, _ = linkage.entities_of(spark.createDataFrame(records, SCHEMA), common=4)
+    got = linkage.candidates(entities, "base", "add", common=4)
+    e = {r["eid"]: (r["side"], tuple(r["edges"])) for r in entities.collect()}
+    pairs = [(e[r["l"]], e[r["r"]]) for r in got.collect()]
+    assert len(pairs) == len(set(pairs)) == len(triples) and all(a[0] == "base" and b[0] == "add" and a[1] == b[1] for a, b in pairs)
+
+
+def test_records_that_are_alike_are_compared_once(spark):
+    same = {"common_name": "Old Mill", "edges": {"a": {}, "b": {}, "c": {}}}
+    records = [(i, "base" if i < 40 else "add", "old mill", "s", json.dumps(same), None) for i in range(60)] + [(60 + i, "base", f"Old Mill {i}", "s", json.dumps(same), None) for i in range(30)]
+    df = spark.createDataFrame(records, SCHEMA)
+    entities, members = linkage.entities_of(df)
+    assert members.count() == 90 and entities.count() == members.select("meid").distinct().count() == 32  # numbered names are classes of their own
+    twins = [(i, "base", f"k{i}", "s", json.dumps({"aliases": ["x"]}), None) for i in (1, 2)] + [(3, "base", "(k1)", "s", json.dumps({"aliases": ["x"]}), None), (4, "base", "[k1]", "s", json.dumps({"aliases": ["x"]}), None), (5, "base", "-k1", "s", json.dumps({"aliases": ["x"]}), None)]
+    entities, members = linkage.entities_of(spark.createDataFrame(twins, SCHEMA))
+    of = {r["row"]: r["meid"] for r in members.collect()}
+    assert of[4] == of[5] == of[1] != of[2] and entities.count() == len(set(of.values()))
+
+
 def test_label_model_finds_the_classes():
     rng = np.random.default_rng(3)
     y = rng.random(4000) < 0.3

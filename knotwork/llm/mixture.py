@@ -1,39 +1,26 @@
 """Mixing sources to target weights.
 
 Sizes are summed by source and hash bucket. The bucket in which a source's budget is reached is refined level by level
-until it holds one hash value or fits; the records under the threshold are then a plain filter. Nothing is sorted, and a
-larger budget takes all that a smaller one takes.
+until few records are left in it; all records of the buckets before it are under the threshold and a plain filter takes
+them. The records behind the threshold are gone through in the order of their hash, and every one that still fits is
+taken, so a large record at the boundary does not keep the smaller ones behind it out. Nothing is sorted but those few.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from knotwork.llm.bpe import DEFAULT_VOCABULARY
 from knotwork.llm.encoding import token_counts
-from knotwork.runtime import staged
+from knotwork.runtime import lookup_join, small, staged
 
 #: Bits of the hash that one level looks at, and its levels (60 bits in all).
 LEVEL_BITS = 10
 LEVELS = 6
-#: Most sources; targets are held on the driver.
-MOST_SOURCES = 10_000
-
-
-@dataclass
-class Budget:
-    """What one source gives: ``rounds`` copies of all its records and one more of those under ``threshold``."""
-
-    source: str
-    share: float
-    max_repeats: int
-    available: int = 0
-    wanted: float = 0.0
-    rounds: int = 0
-    threshold: int = 0
+#: Most hash values of a source behind its threshold that are gone through one by one to fill what is left of its budget.
+TAIL = 10_000
 
 
 def source_key(col: Column) -> Column:
@@ -42,77 +29,98 @@ def source_key(col: Column) -> Column:
     return F.when(key != "", key)
 
 
-def plan_budgets(available: dict[str, int], targets: list[tuple[str, float, int]], total: float | None = None) -> list[Budget]:
-    """The size each source has to give.
+def plan_budgets(available: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
+    """(source, target_share, max_repeats, available, wanted, rounds, rest): what each source has to give.
 
-    Shares are taken over the targets with records, and scaled to 1. Without ``total`` it is the largest size at which
-    every share is met within the repeats. With a larger ``total`` sources at their limit give all they may, and the
-    rest is shared by the others in proportion to their targets.
+    ``available`` has source and tokens, ``targets`` source, target_share and max_repeats. Shares are taken over the
+    targets with records, and scaled to 1. Without ``total`` it is the largest size at which every share is met within
+    the repeats. With a larger ``total`` sources at their limit give all they may, and the rest is shared by the others
+    in proportion to their targets. ``rounds`` copies of all records of a source and ``rest`` more tokens make ``wanted``.
     """
-    merged: dict[str, tuple[float, int]] = {}
-    for source, share, repeats in targets:
-        if source is not None and share and share > 0 and repeats and repeats > 0:
-            old = merged.get(source, (0.0, 0))
-            merged[source] = (old[0] + share, max(old[1], repeats))
-    all_ = [Budget(s, w, m, available.get(s, 0)) for s, (w, m) in sorted(merged.items())]
-    out = [b for b in all_ if b.available > 0]
-    if not out:
-        return all_
-    weight = sum(b.share for b in out)
-    limit = {b.source: b.available * b.max_repeats for b in out}
+    given = targets.filter("target_share > 0 and max_repeats > 0").select(source_key(F.col("source")).alias("source"), "target_share", "max_repeats").filter("source is not null")
+    merged = given.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    have = available.select(F.col("source").alias("have"), F.col("tokens").alias("available"))
+    table = staged(merged.join(have, F.col("source") == F.col("have"), "left").select("source", "target_share", "max_repeats", F.coalesce("available", F.lit(0)).cast("long").alias("available")))
+    limit = F.col("available") * F.col("max_repeats")
+    open_ = table.filter("available > 0")
     if total is None:
-        total = min(limit[b.source] * weight / b.share for b in out)
-    open_, rest = list(out), float(total)
-    while open_:
-        w = sum(b.share for b in open_)
-        full = [b for b in open_ if rest * b.share / w >= limit[b.source]]
-        if not full:
-            for b in open_:
-                b.wanted = rest * b.share / w
-            break
-        for b in full:
-            b.wanted = float(limit[b.source])
-        rest -= sum(b.wanted for b in full)
-        open_ = [b for b in open_ if b not in full]
-    for b in out:
-        b.rounds = min(int(b.wanted // b.available), b.max_repeats)
-    return all_
-
-
-def _thresholds(sized: DataFrame, budgets: list[Budget]) -> None:
-    """Set each threshold so that the records under it come as near to the rest of the budget as the hash can tell."""
-    spark = sized.sparkSession
-    left = {b.source: b.wanted - b.rounds * b.available for b in budgets}
-    open_ = {b.source: 0 for b in budgets if b.available and b.rounds < b.max_repeats and left[b.source] >= 1}
-    done = {b.source: 0 for b in budgets}
+        level = open_.agg(F.min(limit / F.col("target_share"))).first()[0] or 0.0
+    else:
+        level, before = 0.0, -1.0
+        while level > before:  # tokens for a share of 1; sources at their limit leave theirs to the others
+            full = limit <= F.col("target_share") * F.lit(level)
+            one = open_.agg(F.sum(F.when(full, limit).otherwise(0)).alias("fixed"), F.sum(F.when(full, 0.0).otherwise(F.col("target_share"))).alias("shares")).first()
+            before, level = level, max(level, (total - one["fixed"]) / one["shares"]) if one["shares"] else level
+    planned = table.withColumn("wanted", F.when(F.col("available") > 0, F.least(limit.cast("double"), F.col("target_share") * F.lit(float(level)))).otherwise(0.0))
+    planned = planned.withColumn("rounds", F.when(F.col("available") > 0, F.least(F.floor(F.col("wanted") / F.col("available") + 1e-9), F.col("max_repeats").cast("long"))).otherwise(0).cast("int"))
+    rest = F.when(F.col("rounds") < F.col("max_repeats"), F.col("wanted") - F.col("rounds") * F.col("available")).otherwise(0.0)
+    return staged(planned.withColumn("rest", F.when(rest >= 1, rest).otherwise(0.0)))
+
+
+def _pass(sized: DataFrame, state: DataFrame, tail: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(intervals, taken, state): what one pass takes of the records with a hash from ``low`` on and at most ``most`` tokens, and what is left to do."""
+    fits = staged(lookup_join(sized, state, "source", "s", "inner").filter("h >= low and tokens <= most"))
+    rows, ends = fits.withColumn("left", F.col("most")), []
     for level in range(LEVELS):
-        if not open_:
-            break
         shift = (LEVELS - 1 - level) * LEVEL_BITS
-        prefixes = F.broadcast(spark.createDataFrame([(s, p) for s, p in open_.items()], "s string, prefix long"))
-        here = sized.join(prefixes, (F.col("source") == F.col("s")) & (F.shiftright("h", shift + LEVEL_BITS) == F.col("prefix")))
-        rows = here.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).collect()  # at most sources * 2 ** LEVEL_BITS
-        by: dict[str, list] = {}
-        for r in rows:
-            by.setdefault(r["source"], []).append((r["bucket"], r["tokens"], r["n"]))
-        for s in list(open_):
-            end, nxt = open_[s] << LEVEL_BITS, None
-            for bucket, tokens, n in sorted(by.get(s, [])):
-                if tokens <= left[s]:
-                    left[s] -= tokens
-                    end = bucket + 1
-                    continue
-                if n > 1 and shift:
-                    nxt = bucket
-                elif tokens - left[s] < left[s]:  # the one record at the boundary is nearer in than out
-                    end, left[s] = bucket + 1, 0
-                break
-            done[s] = end << shift
-            open_.pop(s)
-            if nxt is not None:
-                done[s], open_[s] = nxt << shift, nxt
-    for b in budgets:
-        b.threshold = done[b.source]
+        # at most 2 ** LEVEL_BITS buckets a source
+        sums = rows.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("tokens").alias("tokens"), F.countDistinct("h").alias("n"), *(F.first(c).alias(c) for c in ("left", "low", "most")))
+        upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        sums = sums.withColumn("upto", F.sum("tokens").over(upto)).withColumn("number", F.sum("n").over(upto))
+        over = F.when(F.col("upto") > F.col("left"), F.col("bucket"))
+        sums = staged(sums.withColumn("edge", F.min(over).over(Window.partitionBy("source"))))
+        if not level:  # all that fit are taken
+            ends.append(sums.filter("edge is null").groupBy("source").agg(F.first("low").alias("low"), F.first("most").alias("most"), F.lit(1 << LEVELS * LEVEL_BITS).alias("threshold"), F.lit(1 << LEVELS * LEVEL_BITS).alias("end"), F.lit(0.0).alias("rest")))
+        at = sums.filter("bucket = edge").select(F.col("source").alias("es"), F.col("edge").alias("at"), (F.col("left") - F.col("upto") + F.col("tokens")).alias("rest"), F.col("n").alias("here"), (F.col("number") - F.col("n")).alias("ahead"))
+        near = sums.join(at, F.col("source") == F.col("es")).filter((F.col("bucket") >= F.col("at")) & ((F.col("bucket") == F.col("at")) | (F.col("number") - F.col("ahead") <= tail)))
+        found = staged(near.groupBy("source").agg(*(F.first(c).alias(c) for c in ("at", "rest", "here", "low", "most")), F.max("bucket").alias("last")))
+        closed = (F.col("here") <= tail) | F.lit(shift == 0)
+        ends.append(found.filter(closed).select("source", "low", "most", F.shiftleft("at", shift).alias("threshold"), F.shiftleft(F.col("last") + 1, shift).alias("end"), "rest"))
+        more = found.filter(~closed).select(F.col("source").alias("ms"), "at", "rest")
+        if more.isEmpty():
+            break
+        rows = staged(lookup_join(rows.drop("left"), more, "source", "ms", "inner").filter(F.shiftright("h", shift) == F.col("at")).withColumn("left", F.col("rest")).select(*fits.columns, "left"))
+    every = ends[0]
+    for end in ends[1:]:
+        every = every.unionByName(end)
+    every = staged(every)
+
+    def fill(key: tuple, behind: pd.DataFrame) -> pd.DataFrame:
+        left, taken = float(behind["rest"].iloc[0]), []
+        for h, tokens in behind.sort_values("h")[["h", "tokens"]].itertuples(index=False):
+            if tokens <= left:
+                left -= tokens
+                taken.append((key[0], h, left))
+        return pd.DataFrame(taken, columns=["source", "h", "left"])
+
+    open_ = every.select(F.col("source").alias("os"), "threshold", "end", F.col("rest"))
+    behind = lookup_join(fits, open_.filter("end > threshold"), "source", "os", "inner").filter("h >= threshold and h < end").groupBy("source", "h").agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"))
+    taken = staged(behind.groupBy("source").applyInPandas(fill, "source string, h long, left double"))
+    after = taken.groupBy(F.col("source").alias("ts")).agg(F.min("left").alias("left"))
+    left = F.coalesce("left", "rest")
+    state = staged(open_.filter("end > threshold").join(after, F.col("os") == F.col("ts"), "left").filter(left >= 1).select(F.col("os").alias("s"), F.col("end").alias("low"), left.alias("most")))
+    return every.select("source", "low", F.col("threshold").alias("high"), "most"), taken.select("source", "h"), state
+
+
+def _thresholds(sized: DataFrame, plan: DataFrame, tail: int = TAIL) -> tuple[DataFrame, DataFrame]:
+    """(intervals, taken) of the sources with a rest: records of ``source`` with a hash from ``low`` to under ``high`` and at most ``most`` tokens, and single hash values.
+
+    The intervals of a source do not overlap. Usually it has one; it has another where the records behind its threshold
+    did not fill what was left.
+    """
+    state = plan.filter("rest > 0").select(F.col("source").alias("s"), F.lit(0).cast("long").alias("low"), F.col("rest").alias("most"))
+    intervals, taken = [], []
+    while True:
+        some, single, state = _pass(sized, state, tail)
+        intervals.append(some)
+        taken.append(single)
+        if state.isEmpty():
+            break
+    for more in intervals[1:]:
+        intervals[0] = intervals[0].unionByName(more)
+    for more in taken[1:]:
+        taken[0] = taken[0].unionByName(more)
+    return intervals[0], taken[0]
 
 
 def mix_sources(df: DataFrame, doc_id: Column, text: Column, source: Column, targets: DataFrame, *, total_tokens: float | None = None, vocabulary: str = DEFAULT_VOCABULARY) -> tuple[DataFrame, DataFrame]:
@@ -121,25 +129,26 @@ def mix_sources(df: DataFrame, doc_id: Column, text: Column, source: Column, tar
     ``targets`` has source, target_share and max_repeats; sources are compared but for case and outer blanks.
     Records without a source, or of one without a target, are not used; targets without records are reported with 0.
     Null and empty texts have size 0 and go with the hash. Copies of a record id share its hash and are chosen
-    together. ``chosen``: doc_id, source, tokens, copies. ``report``: source, target_share, max_repeats, available
-    and used tokens, records, actual_share. See ``plan_budgets`` for ``total_tokens``.
+    together. A source misses its budget by less than the smallest of its records behind the threshold that are not taken. A
+    larger budget has the larger threshold; only the records that fill the gap behind a threshold may differ.
+    ``chosen``: doc_id, source, tokens, copies. ``report``: source, target_share, max_repeats, available and used
+    tokens, records, actual_share. See ``plan_budgets`` for ``total_tokens``.
     """
-    spark = df.sparkSession
     h = F.shiftrightunsigned(F.xxhash64(doc_id.cast("long"), F.lit(23)), 4).alias("h")
     sized = staged(token_counts(df, text, doc_id.cast("long").alias("doc_id"), source_key(source).alias("source"), h, vocabulary=vocabulary))
-    wanted = [(r["s"], r["w"], r["m"]) for r in targets.select(source_key(F.col("source")).alias("s"), F.col("target_share").alias("w"), F.col("max_repeats").alias("m")).limit(MOST_SOURCES + 1).collect()]
-    if len(wanted) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} targets")
-    names = spark.createDataFrame([(s,) for s in sorted({s for s, _, _ in wanted if s})], "source string")
-    available = {r["source"]: r["tokens"] for r in sized.join(F.broadcast(names), "source").groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()}
-    budgets = plan_budgets(available, wanted, total_tokens)
-    _thresholds(sized, budgets)
-    plan = F.broadcast(spark.createDataFrame([(b.source, b.share, b.max_repeats, b.available, b.rounds, b.threshold) for b in budgets], "source string, target_share double, max_repeats int, available long, rounds int, threshold long"))
-    copies = F.col("rounds") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
-    chosen = sized.join(plan, "source").withColumn("copies", copies.cast("int")).filter("copies > 0").select("doc_id", "source", "tokens", "copies")
-    used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used"), F.count("*").alias("records"), F.max("copies").alias("most_copies"))
-    all_used = used.agg(F.sum("used").alias("total"))
-    report = plan.join(used, "source", "left").join(F.broadcast(all_used), how="left").select(
+    sized = sized.filter("source is not null")
+    plan = plan_budgets(sized.groupBy("source").agg(F.sum("tokens").alias("tokens")), targets, total_tokens)
+    intervals, taken = _thresholds(sized, plan)
+    ranges = intervals.groupBy(F.col("source").alias("rs")).agg(F.collect_list(F.struct("low", "high", "most")).alias("ranges"))
+    full = plan.join(ranges, F.col("source") == F.col("rs"), "left").select(F.col("source").alias("s"), "rounds", "ranges")
+    extra = small(taken.select(F.col("source").alias("ts"), F.col("h").alias("th"), F.lit(1).alias("extra")))
+    planned = lookup_join(sized, full, "source", "s", "inner").join(extra, (F.col("source") == F.col("ts")) & (F.col("h") == F.col("th")), "left")
+    under = F.exists("ranges", lambda r: (F.col("h") >= r["low"]) & (F.col("h") < r["high"]) & (F.col("tokens") <= r["most"]))
+    copies = F.col("rounds") + F.when(under | F.col("extra").isNotNull(), 1).otherwise(0)
+    chosen = staged(planned.withColumn("copies", copies.cast("int")).filter("copies > 0").select("doc_id", "source", "tokens", "copies"))
+    used = chosen.groupBy(F.col("source").alias("us")).agg(F.sum(F.col("tokens") * F.col("copies")).alias("used"), F.count("*").alias("records"), F.max("copies").alias("most_copies"))
+    all_used = chosen.agg(F.sum(F.col("tokens") * F.col("copies")).alias("total"))
+    report = plan.join(used, F.col("source") == F.col("us"), "left").join(F.broadcast(all_used), how="left").select(
         "source", "target_share", "max_repeats", "available", F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), (F.coalesce("used", F.lit(0)) / F.col("total")).alias("actual_share")
     )
     return chosen, report

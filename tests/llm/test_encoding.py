@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+from dataclasses import dataclass
 from pathlib import Path
 
 import pytest
@@ -72,13 +73,64 @@ def test_corpus(spark, other):
 # --- mixing
 
 
-def test_budgets():
+@dataclass
+class Budget:
+    source: str
+    share: float
+    max_repeats: int
+    available: int = 0
+    wanted: float = 0.0
+    rounds: int = 0
+
+
+def budgets_by_hand(available: dict[str, int], targets: list[tuple[str, float, int]], total: float | None = None) -> list[Budget]:
+    """The same shares, source by source."""
+    merged: dict[str, tuple[float, int]] = {}
+    for source, share, repeats in targets:
+        if source is not None and share and share > 0 and repeats and repeats > 0:
+            old = merged.get(source, (0.0, 0))
+            merged[source] = (old[0] + share, max(old[1], repeats))
+    all_ = [Budget(s, w, m, available.get(s, 0)) for s, (w, m) in sorted(merged.items())]
+    out = [b for b in all_ if b.available > 0]
+    if not out:
+        return all_
+    weight = sum(b.share for b in out)
+    limit = {b.source: b.available * b.max_repeats for b in out}
+    if total is None:
+        total = min(limit[b.source] * weight / b.share for b in out)
+    open_, rest = list(out), float(total)
+    while open_:
+        w = sum(b.share for b in open_)
+        full = [b for b in open_ if rest * b.share / w >= limit[b.source]]
+        if not full:
+            for b in open_:
+                b.wanted = rest * b.share / w
+            break
+        for b in full:
+            b.wanted = float(limit[b.source])
+        rest -= sum(b.wanted for b in full)
+        open_ = [b for b in open_ if b not in full]
+    for b in out:
+        b.rounds = min(int(b.wanted // b.available), b.max_repeats)
+    return all_
+
+
+def test_budgets(spark):
     have = {"a": 1000, "b": 100, "c": 10}
-    plan = {b.source: b for b in mixture.plan_budgets(have, [("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.1, 5), ("none", 0.1, 2), (None, 0.2, 1)])}
-    assert plan["none"].wanted == 0 and plan["c"].wanted == 50 and plan["c"].rounds == 5 and round(plan["a"].wanted) == 250 and round(plan["b"].wanted) == 150
-    wide = {b.source: b.wanted for b in mixture.plan_budgets(have, [("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.2, 5)], total=800)}
-    assert wide["c"] == 50 and round(wide["a"] + wide["b"] + wide["c"]) == 800 and round(wide["a"] / wide["b"], 3) == round(0.5 / 0.3, 3)
-    assert all(b.wanted == 0 for b in mixture.plan_budgets({}, [("a", 1.0, 1)]))
+    available = spark.createDataFrame(list(have.items()), "source string, tokens long")
+
+    def planned(targets, total=None, of=available):
+        return {r["source"]: r for r in mixture.plan_budgets(of, spark.createDataFrame(targets, "source string, target_share double, max_repeats int"), total).collect()}
+
+    few = [("a", 0.5, 1), ("b", 0.3, 4), (" C", 0.1, 5), ("none", 0.1, 2), (None, 0.2, 1)]
+    plan = planned(few)
+    assert plan["none"]["wanted"] == 0 and round(plan["c"]["wanted"]) == 50 and plan["c"]["rounds"] == 5 and round(plan["a"]["wanted"]) == 250 and round(plan["b"]["wanted"]) == 150
+    wide = {s: r["wanted"] for s, r in planned([("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.2, 5)], 800).items()}
+    assert wide["c"] == 50 and round(sum(wide.values())) == 800 and round(wide["a"] / wide["b"], 3) == round(0.5 / 0.3, 3)
+    assert all(r["wanted"] == 0 for r in planned([("a", 1.0, 1)], of=available.limit(0)).values())
+    for total in (None, 1, 100, 700, 1300, 10_000):
+        got, by_hand = planned([("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.2, 5), ("c", 0.1, 7)], total), budgets_by_hand(have, [("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.2, 5), ("c", 0.1, 7)], total)
+        assert all(got[b.source]["rounds"] == b.rounds and abs(got[b.source]["wanted"] - b.wanted) < 1e-6 for b in by_hand)
 
 
 def mixed(spark, total=None):
@@ -104,6 +156,19 @@ def test_larger_budgets_take_all_of_smaller_ones(spark):
     assert all(large.get(d, 0) >= c for d, c in small.items()) and sum(large.values()) > sum(small.values())
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_large_records_do_not_keep_a_source_out(spark, seed, monkeypatch):
+    """One record in ten is larger than the whole budget of its source; with a tail of few records and with all."""
+    random.seed(seed)
+    docs = [(i, "word " * (4000 if i % 10 == seed else random.randrange(1, 30)), "ab"[i % 2]) for i in range(600)] + [(9000 + i, "word " * 40, "c") for i in range(5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 3)], "source string, target_share double, max_repeats int")
+    for tail in (60, mixture.TAIL):
+        monkeypatch.setattr(mixture._thresholds, "__defaults__", (tail,))
+        by = {r["source"]: r for r in mixture.mix_sources(df, F.col("doc_id"), F.col("text"), F.col("source"), targets, vocabulary=VOCABULARY)[1].collect()}
+        assert all(abs(r["actual_share"] - r["target_share"]) < 0.02 for r in by.values()), (tail, by)
+
+
 def test_mixture_of_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     targets = spark.createDataFrame([("a", 0.6, 1)], "source string, target_share double, max_repeats int")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import unicodedata
@@ -123,20 +124,28 @@ def flat_bodies(df: DataFrame, *, row: str = "concept_row", key: str = "concept_
     return df.select(F.col(row).cast("long").alias("row"), F.col(key).alias("key"), F.col(body).alias("body")).filter("row is not null").mapInArrow(run, "row long, names array<string>, edges array<string>, kinds array<string>, entity string, home string")
 
 
-def body_sizes(df: DataFrame, *, row: str = "concept_row", body: str = "body") -> DataFrame:
-    """(row, field, size) for every field with a real value: letters of the name, letters of the texts, number of edges."""
+def _mark(texts: list[str]) -> int:
+    """The same number for texts that are equal but for case, accents, signs, blanks and their order."""
+    folded = "\x01".join(sorted(fold(t) or t for t in texts))
+    return int.from_bytes(hashlib.blake2b(folded.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def body_values(df: DataFrame, *, row: str = "concept_row", body: str = "body") -> DataFrame:
+    """(row, field, size, value) for every field with a real value: letters of the name, letters of the texts, number of edges, and a number for the value itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, fields, sizes = [], [], []
+            rows, fields, sizes, values = [], [], [], []
             for r, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 b = parse(text)
                 name = b.get("common_name")
-                for field, size in (("common_name", len(name.strip()) if is_real(name) else 0), ("descriptions", sum(map(len, description_texts(b)))), ("edges", len(edge_names(b)))):
+                name, texts, edges = [name] if is_real(name) else [], description_texts(b), edge_names(b)
+                for field, size, value in (("common_name", sum(len(n.strip()) for n in name), name), ("descriptions", sum(map(len, texts)), texts), ("edges", len(edges), edges)):
                     if size:
                         rows.append(r)
                         fields.append(field)
                         sizes.append(size)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(fields, pa.string()), pa.array(sizes, pa.int64())], names=["row", "field", "size"])
+                        values.append(_mark(value))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(fields, pa.string()), pa.array(sizes, pa.int64()), pa.array(values, pa.int64())], names=["row", "field", "size", "value"])
 
-    return df.select(F.col(row).cast("long").alias("row"), F.col(body).alias("body")).filter("row is not null and body is not null").mapInArrow(run, "row long, field string, size long")
+    return df.select(F.col(row).cast("long").alias("row"), F.col(body).alias("body")).filter("row is not null and body is not null").mapInArrow(run, "row long, field string, size long, value long")

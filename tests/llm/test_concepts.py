@@ -183,6 +183,28 @@ def test_survivors_of_a_large_group(spark):
     assert rel["top"] > rel["mid"] and rel["top"] > rel["low"]
 
 
+def test_values_are_voted_for_by_all_their_sources(spark):
+    """Three sources that mostly agree and one that mostly stands alone: where no record is the best in all criteria, the value they share wins."""
+    records, n = [], 0
+    for g in range(40):
+        for k, source in enumerate(("a", "b", "c", "odd")):
+            n += 1
+            name = f"odd{g}" if source == "odd" else f"Mill {g}" if (g + k) % 7 else f"slip {g} {k}"
+            records.append((n, "base", f"k{g}", source, doc(name.upper() if k == 1 else name), day(20 if source == "odd" else 1 + k)))
+    trust = spark.createDataFrame([("a", 5), ("b", 4), ("c", 3), ("odd", 1)], "source string, trust int")
+    claims = survivor.claims_of(spark.createDataFrame(records, SCHEMA), trust)
+    winners, _, reliability = survivor.discover(claims, check=False)
+    rel = {r["rs"]: r["rel"] for r in reliability.collect()}
+    assert min(rel[s] for s in "abc") > rel["odd"] + 0.2
+    won = {r["winner_row"]: r["sources"] for r in winners.collect()}
+    assert len(won) == 40 and set(won.values()) == {4}
+    names = [json.loads(records[w - 1][4])["common_name"].lower() for w in won]
+    assert not any("odd" in x for x in names) and sum("mill" in x for x in names) >= 25
+    # the order of rounds does not matter once settled
+    again = {r["rs"]: r["rel"] for r in survivor.discover(claims, rounds=60, check=False)[2].collect()}
+    assert all(abs(again[s] - rel[s]) < 0.02 for s in rel)
+
+
 def test_survivors_of_empty_tables(spark):
     trust = spark.createDataFrame(TRUST, "source string, trust int")
     assert survivor.survivors(spark.createDataFrame([], SCHEMA), trust).count() == 0

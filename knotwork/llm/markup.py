@@ -60,10 +60,26 @@ _SIGNS = {
 }
 _LINKS = re.compile(r"\[\[[^\[\]]*\]\]|\[(?:https?:)?//[^\]]*\]|\[[^\[\]]*\]\([^()]*\)|<a\b[^>]*>.*?</a\s*>", re.I | re.S)
 _WORD = re.compile(r"\w+")
-
-#: Signs that are written only as markup; the others need their neighbours.
-_SURE = tuple(n for n in _SIGNS if n not in ("hashes", "hash_blank", "underline"))
-FEATURES = (*_SIGNS, "evidence", "under_line", "code", "raw", "math", "inline_math", "words", "link_density", "upper", "same_before", "same_after", "words_before", "words_after", "density_before", "density_after", "underline_after", "blank_before", "blank_after", "end_stop")
+_LEADING = re.compile(r"^[\s#=*+;:\-\d.)]+")
+_UPPER = re.compile(r"[^\w]*\p{Lu}")
+
+#: Characters of which a line must hold one for each sign to be looked for (of the first character of the line where it starts with "^").
+_NEEDS = {
+    "wiki_heading": "^=", "half_heading": "^=", "hashes": "^#", "hash_blank": "^#", "html_heading": "<", "latex_heading": "\\", "underline": "^=-", "bullet": "^*+-0123456789•‣◦", "definition": "^;:", "html_list": "<", "latex_list": "\\",
+    "redirect": "^#", "tag": "<", "entity": "&", "link": "[]", "template": "{}", "emphasis": "'*_~`", "table": "^{|!", "quote": "^>", "rule": "^-*_", "latex": "\\", "remark": "^%", "switch": "_",
+}
+_ANY_SIGN = re.compile(r"[<&\[\]{}'*_~`\\$]")
+_LEAD = {c: [n for n, need in _NEEDS.items() if need[0] == "^" and c in need[1:]] for c in sorted({c for need in _NEEDS.values() if need[0] == "^" for c in need[1:]})}
+#: Other digits than ASCII ones may begin an item, too.
+_INSIDE = {n: need for n, need in _NEEDS.items() if need[0] != "^"}
+
+#: Signs that mean the same are one feature; what is left open by them (a hash before a title or an item, a line under a
+#: title or between parts) is told by the words, the links and the neighbours of the block.
+_MEANING = {
+    "heading_sign": ("wiki_heading", "half_heading", "html_heading", "latex_heading"), "list_sign": ("bullet", "definition", "html_list", "latex_list"), "underline": ("underline",), "redirect": ("redirect",),
+    "other_sign": ("redirect", "tag", "entity", "link", "template", "emphasis", "table", "quote", "rule", "latex", "remark", "switch", "html_heading", "latex_heading", "html_list", "latex_list"),
+}
+FEATURES = ("words", "link_density", "words_before", "words_after", "density_before", "density_after", *_MEANING, "hash", "math", "code", "raw", "upper", "same_before", "same_after", "underline_after", "blank_before", "blank_after", "end_stop")
 
 
 @dataclass
@@ -118,37 +134,60 @@ def blocks_of(text: str) -> list[Block]:
     return out
 
 
+def signs_of(line: str) -> set[str]:
+    """The signs of markup that a line holds; only those are looked for of which it holds a character."""
+    out = set()
+    lead = line.lstrip()[:1]
+    for n in _LEAD.get(lead, _LEAD["0"] if lead.isdigit() else ()):
+        if _SIGNS[n].search(line):
+            out.add(n)
+    if _ANY_SIGN.search(line):
+        for n, need in _INSIDE.items():
+            if any(c in line for c in need) and _SIGNS[n].search(line):
+                out.add(n)
+    return out
+
+
+_COL = {f: i for i, f in enumerate(FEATURES)}
+
+
 def features_of(blocks: list[Block]) -> np.ndarray:
     """One row of FEATURES for each block."""
     n = len(blocks)
-    rows = np.zeros((n, len(FEATURES)))
-    col = {f: i for i, f in enumerate(FEATURES)}
+    rows = [[0.0] * len(FEATURES) for _ in blocks]
     first = []
-    for i, b in enumerate(blocks):
-        t, r = b.text, rows[i]
-        plain = not _INLINE_MATH.search(t)
-        for k, (name, pattern) in enumerate(_SIGNS.items()):
-            r[k] = bool(pattern.search(t))
-        links = sum(len(_WORD.findall(x)) for x in _LINKS.findall(t))
+    for b, r in zip(blocks, rows):
+        t = b.text
+        signs = signs_of(t)
+        if signs:
+            for name, which in _MEANING.items():
+                r[_COL[name]] = float(not signs.isdisjoint(which))
+            if "hashes" in signs:
+                r[_COL["hash"]] = 1.0
+        links = sum(len(_WORD.findall(x)) for x in _LINKS.findall(t)) if "[" in t or "<" in t else 0
         words = len(_WORD.findall(t))
-        stripped = re.sub(r"^[\s#=*+;:\-\d.)]+", "", t)
-        r[col["code"]], r[col["raw"]], r[col["math"]], r[col["inline_math"]] = b.code, b.raw, b.math, not plain
-        r[col["evidence"]] = sum(r[col[n]] for n in _SURE) + b.code + b.raw + b.math + (not plain)
-        r[col["words"]], r[col["link_density"]] = min(words, 60), links / words if words else 0
-        r[col["upper"]] = bool(re.match(r"[^\w]*\p{Lu}", stripped))
-        r[col["blank_before"]], r[col["blank_after"]] = b.blank_before, b.blank_after
-        r[col["end_stop"]] = t.rstrip()[-1:] in ".!?\"”)"
+        r[_COL["math"]] = float(b.math > 0 or any(c in t for c in "$\\{<") and bool(_INLINE_MATH.search(t)))
+        r[_COL["code"]], r[_COL["raw"]] = b.code, b.raw
+        r[_COL["words"]], r[_COL["link_density"]] = min(words, 60), links / words if words else 0
+        r[_COL["upper"]] = bool(_UPPER.match(_LEADING.sub("", t)))
+        r[_COL["blank_before"]], r[_COL["blank_after"]] = b.blank_before, b.blank_after
+        r[_COL["end_stop"]] = t.rstrip()[-1:] in ".!?\"”)"
         mark = t.lstrip()[:1]
         first.append(mark if mark and mark in "#*+-;:" else "digit" if mark.isdigit() else "")
-    for i in range(n):
-        r = rows[i]
-        r[col["same_before"]] = i > 0 and not blocks[i].blank_before and first[i] != "" and first[i - 1] == first[i]
-        r[col["same_after"]] = i + 1 < n and not blocks[i].blank_after and first[i] != "" and first[i + 1] == first[i]
-        for name, j in (("before", i - 1), ("after", i + 1)):
-            r[col[f"words_{name}"]], r[col[f"density_{name}"]] = (rows[j][col["words"]], rows[j][col["link_density"]]) if 0 <= j < n else (-1, 0)
-        r[col["underline_after"]] = i + 1 < n and not blocks[i].blank_after and rows[i + 1][col["underline"]]
-        r[col["under_line"]] = i > 0 and not blocks[i].blank_before and r[col["underline"]] and blocks[i - 1].text.strip()[:1].isalnum()
-    return rows
+    x = np.array(rows, float).reshape(n, len(FEATURES))
+    if n < 2:
+        x[:, [_COL["words_before"], _COL["words_after"]]] = -1
+        return x
+    same = np.array([a != "" and a == b for a, b in zip(first, first[1:])])
+    near = np.array([not b.blank_after for b in blocks[:-1]])
+    x[1:, _COL["same_before"]] = x[:-1, _COL["same_after"]] = same & near
+    x[:-1, _COL["underline_after"]] = x[1:, _COL["underline"]] * near
+    for what in ("words", "density"):
+        value = x[:, _COL["words" if what == "words" else "link_density"]]
+        end = -1 if what == "words" else 0
+        x[:, _COL[f"{what}_before"]] = np.concatenate([[end], value[:-1]])
+        x[:, _COL[f"{what}_after"]] = np.concatenate([value[1:], [end]])
+    return x
 
 
 class Tree:
@@ -219,11 +258,27 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(xs), np.array(ys, bool)
 
 
+class Rest(Tree):
+    """A tree for what other trees have not said yes to: yes where one of them or the tree itself does."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, others: tuple[Tree, ...]):
+        super().__init__(x, y)
+        self.others = others
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return np.max([super().predict(x), *(t.predict(x) for t in self.others)], axis=0)
+
+
 @lru_cache(maxsize=1)
 def trees() -> tuple[Tree, ...]:
-    """The trees of ELEMENTS, trained on the labelled table (some hundred rows, all of it)."""
+    """The trees of ELEMENTS, trained on the labelled table (some hundred rows, all of it).
+
+    Blocks that are one of the other elements are markup by that; the tree for markup learns from the rest.
+    """
     x, y = labelled_blocks()
-    return tuple(Tree(x, y[:, k]) for k in range(len(ELEMENTS)))
+    rest = ~y[:, :-1].any(1)
+    single = tuple(Tree(x, y[:, k]) for k in range(len(ELEMENTS) - 1))
+    return (*single, Rest(x[rest], y[rest, -1], single))
 
 
 def classify(texts: list[str | None]) -> list[tuple[list[Block], np.ndarray]]:
@@ -232,7 +287,6 @@ def classify(texts: list[str | None]) -> list[tuple[list[Block], np.ndarray]]:
     sizes = [len(b) for b in cut]
     x = np.concatenate([features_of(b) for b in cut if b] or [np.zeros((0, len(FEATURES)))])
     hit = np.stack([t.predict(x) > 0.5 for t in trees()], 1) if len(x) else np.zeros((0, len(ELEMENTS)), bool)
-    hit[:, ELEMENTS.index("markup")] |= hit[:, :-1].any(1)
     return [(b, h) for b, h in zip(cut, np.split(hit, np.cumsum(sizes)[:-1]))] if sizes else []
 
 
@@ -244,11 +298,13 @@ def find_elements(df: DataFrame, row_id: Column, text: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out_id, out = batch.column(0).to_pylist(), [], []
-            for i, (_, hit) in zip(ids, classify(batch.column(1).to_pylist())):
-                for k in np.flatnonzero(hit.any(0)) if len(hit) else ():
+            ids, texts, out_id, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], []
+            listed = list(set(texts))  # equal texts are classified once
+            held = {t: [ELEMENTS[k] for k in np.flatnonzero(hit.any(0))] if len(hit) else [] for t, (_, hit) in zip(listed, classify(listed))}
+            for i, t in zip(ids, texts):
+                for e in held[t]:
                     out_id.append(i)
-                    out.append(ELEMENTS[k])
+                    out.append(e)
             yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out, pa.string())], names=["row_id", "element"])
 
     rows = df.select(row_id.cast("long").alias("row_id"), text.cast("string").alias("text")).filter(F.col("row_id").isNotNull() & F.col("text").isNotNull())
@@ -282,23 +338,18 @@ def _formula(region: str) -> str:
     return "$" + " ".join((re.sub(r"</?[a-zA-Z][^<>]*>", "", next(g for g in m.groups() if g is not None)) if m else region).split()) + "$"
 
 
-def _hold(b: Block, in_place: bool) -> tuple[str, dict[str, str], list[str]]:
-    """The line of a block with marks for what is kept as it stands, what the marks hold, and the formulas that follow the line.
-
-    Kept are texts within nowiki and inline formulas, and with ``in_place`` displayed formulas too; else these follow.
-    """
+def _hold(b: Block) -> tuple[str, dict[str, str]]:
+    """The line of a block with marks for what is kept as it stands, formulas and texts within nowiki, and what the marks hold."""
     kept: dict[str, str] = {}
-    after: list[str] = []
     kinds = {i: (kind, body) for i, kind, body in b.regions}
 
     def region(m) -> str:
         kind, body = kinds[m.group(1)]
         if kind == _RAW and (text := _NOWIKI.fullmatch(body)):
             kept[m.group(1)] = html.unescape(text.group(1))
-        elif kind == _MATH and in_place:
+        elif kind == _MATH:
             kept[m.group(1)] = _formula(body)
         else:
-            after.extend([_formula(body)] if kind == _MATH else [])
             return " "
         return m.group(0)
 
@@ -311,7 +362,7 @@ def _hold(b: Block, in_place: bool) -> tuple[str, dict[str, str], list[str]]:
         kept[mark] = f"${' '.join(body.split())}$"
         return f"\x00{mark}\x00"
 
-    return _INLINE.sub(inline, _MARK.sub(region, b.marked)), kept, after
+    return _INLINE.sub(inline, _MARK.sub(region, b.marked)), kept
 
 
 def _put_back(text: str, kept: dict[str, str]) -> str:
@@ -327,54 +378,113 @@ def _unclosed(depths: list[int]) -> list[bool]:
     return [bool(least[i + 1] > total[i]) for i in range(len(depths))]
 
 
+_BRACES = re.compile(r"\{\{|\}\}")
+_TABLE_START, _TABLE_END = re.compile(r"^\s*\{\|"), re.compile(r"^\s*\|\}")
+_LEFT_OUT = re.compile(r"\s*(?:\||!\s|#\s*redirect\b)", re.I)
+_NESTS, _UNNESTS = re.compile(r"<(?:ul|ol|dl)\b|\\begin\{(?:itemize|enumerate|description)\}", re.I), re.compile(r"</(?:ul|ol|dl)\s*>|\\end\{(?:itemize|enumerate|description)\}", re.I)
+_LEVELS = {"part": 1, "chapter": 1, "section": 1, "subsection": 2, "subsubsection": 3, "paragraph": 4, "subparagraph": 5}
+_LATEX_TITLE = re.compile(r"\\(part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?\s*(?:\[[^\]]*\])?\{([^{}]*)\}")
+_FENCES = re.compile(r"^\s*(?:<[^<>]*>\s*)+|(?:<[^<>]*>\s*)+$|^\s*(?:```|~~~)[^\n]*\n|\n?\s*(?:```|~~~)\s*$|\\(?:begin|end)\{[^{}]*\}")
+
+
+def _outside(line: str, depth: int, closes: bool) -> tuple[str, int]:
+    """What of a line is outside of templates that other lines begin or end, and the depth at its end.
+
+    A template that opens here and that no line closes ends with the line.
+    """
+    opens: list[int] = []
+    start = 0
+    for m in _BRACES.finditer(line):
+        if m.group() == "{{":
+            if depth:
+                depth += 1
+            else:
+                opens.append(m.start())
+        elif depth:
+            depth -= 1
+            start = m.end() if not depth else start
+        elif opens:
+            opens.pop()
+    if depth:
+        return "", depth
+    return (line[start : opens[0]], len(opens) if closes else 0) if opens else (line[start:], 0)
+
+
+def _level(line: str, after: str) -> int:
+    """The level of a heading; the second level of wiki markup is the first within a page."""
+    if m := _SIGNS["wiki_heading"].match(line) or _SIGNS["half_heading"].match(line):
+        return max(1, len(line.strip()) - len(line.strip().lstrip("=")) - 1)
+    if m := re.search(r"</?h([1-6])", line, re.I):
+        return int(m.group(1))
+    if m := _LATEX_TITLE.search(line):
+        return _LEVELS[m.group(1)]
+    if m := re.match(r"\s*(#{1,6})", line):
+        return len(m.group(1))
+    return 2 if after.lstrip()[:1] == "-" and _SIGNS["underline"].match(after) else 1
+
+
 def clean_text(text: str | None) -> str | None:
-    """Text without markup: headings as '# x', list items as '- x', code blocks fenced, formulas as $x$, nowiki texts as they stand.
+    """Text without markup: headings as '# x' with a hash for each level, list items as '- x' indented by two blanks for each
+    level, code blocks fenced, formulas as $x$ at their place, nowiki texts as they stand.
 
-    Null for null. Redirect lines, tables, templates, comments and files are left out; a template or table that is never
-    closed ends at the next blank line. Displayed formulas of a line of text follow it; all other formulas keep their place.
+    Null for null. Redirect lines, tables, templates, comments and files are left out; what stands in a line before or
+    after a template of several lines is kept. A template or table that is never closed ends with its line, and lines
+    after it that look like its cells or parameters are left out.
     """
     return clean_texts([text])[0]
 
 
 def clean_texts(texts: list[str | None]) -> list[str | None]:
-    """``clean_text`` of each text."""
-    out: list[str | None] = []
-    col = {e: k for k, e in enumerate(ELEMENTS)}
-    for text, (blocks, hit) in zip(texts, classify(texts)):
-        if text is None:
-            out.append(None)
+    """``clean_text`` of each text; equal texts are cleaned once."""
+    listed = list({t for t in texts if t is not None})
+    done: dict[str | None, str | None] = {t: _cleaned(blocks, hit) for t, (blocks, hit) in zip(listed, classify(listed))}
+    return [done.get(t) for t in texts]
+
+
+def _cleaned(blocks: list[Block], hit: np.ndarray) -> str:
+    is_a = {e: hit[:, k].tolist() if len(hit) else [] for k, e in enumerate(ELEMENTS)}
+    held = [_hold(b) for b in blocks]
+    whole = [is_a["code"][i] and b.code for i, b in enumerate(blocks)]
+    opened = [0 if w else line.count("{{") - line.count("}}") for w, (line, _) in zip(whole, held)]
+    tables = [0 if w else bool(_TABLE_START.match(line)) - bool(_TABLE_END.match(line)) for w, (line, _) in zip(whole, held)]
+    lost, lost_table = _unclosed(opened), _unclosed(tables)
+    parts: list[tuple[str, str]] = []
+    depth = table = nested = 0
+    for i, (b, (line, kept)) in enumerate(zip(blocks, held)):
+        if whole[i]:
+            parts.append(("code", "```\n" + _FENCES.sub("", b.held).strip("\n") + "\n```"))
             continue
-        parts: list[tuple[str, str]] = []
-        lines = [_hold(b, bool(h[col["heading"]] or h[col["list"]])) for b, h in zip(blocks, hit)]
-        opened = [0 if h[col["code"]] and b.code else line.count("{{") - line.count("}}") + line.count("{|") - len(re.findall(r"^\s*\|\}", line)) for b, h, (line, _, _) in zip(blocks, hit, lines)]
-        depth, open_end = 0, False
-        for b, h, (line, kept, after), more, unclosed in zip(blocks, hit, lines, opened, _unclosed(opened)):
-            if b.blank_before and open_end:
-                depth, open_end = 0, False
-            if h[col["code"]] and b.code:
-                body = re.sub(r"^\s*(?:<[^<>]*>\s*)+|(?:<[^<>]*>\s*)+$|^\s*(?:```|~~~)[^\n]*\n|\n?\s*(?:```|~~~)\s*$|\\(?:begin|end)\{[^{}]*\}", "", b.held).strip("\n")
-                parts.append(("code", "```\n" + body + "\n```"))
-                continue
-            open_end = open_end or (depth <= 0 and unclosed)
-            depth += more
-            if depth > 0 or re.match(r"\s*(?:\}\}|\|\}|\{\||\|[-+]|\|\s|!\s|#\s*redirect\b|\|.*\|\s*$)", line, re.I) or _SIGNS["underline"].match(b.text) or _SIGNS["rule"].match(b.text):
-                depth = max(depth, 0)
+        if not depth and _TABLE_START.match(line):
+            table += not lost_table[i]
+            continue
+        if table:
+            if not _TABLE_END.match(line):
                 continue
-            depth, open_end = 0, False
-            if h[col["heading"]]:
-                plain = _put_back(_plain(re.sub(r"^[\s=#]+|[\s=#]+$", "", re.sub(r"\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?\{([^{}]*)\}", r"\1", line))), kept)
-                parts += [("heading", f"# {plain}")] if plain else []
-            elif h[col["list"]]:
-                items = [x for x in re.split(r"<(?:li|dt|dd)\b[^<>]*>|\\item\b", line, flags=re.I)]
-                parts += [("list", f"- {_put_back(p, kept)}") for x in items if (p := _plain(re.sub(r"^\s*(?:[*#;:+-]+|\d+[.)])\s*", "", x)))]
-            else:
-                plain = " ".join([p for p in [_put_back(_plain(line), kept)] if p] + after)
-                parts += [("text", plain)] if plain else []
-        joined = ""
-        for k, (kind, part) in enumerate(parts):
-            joined += ("" if not k else "\n" if kind == "list" == parts[k - 1][0] else "\n\n") + part
-        out.append(joined)
-    return out
+            table -= 1
+            line = _TABLE_END.sub("", line)
+        line, depth = _outside(line, depth, not lost[i])
+        if not line.strip() or _LEFT_OUT.match(line) or _SIGNS["underline"].match(b.text) or _SIGNS["rule"].match(b.text):
+            continue
+        if is_a["heading"][i]:
+            plain = _put_back(_plain(re.sub(r"^[\s=#]+|[\s=#]+$", "", _LATEX_TITLE.sub(r"\2", line))), kept)
+            level = _level(b.text, blocks[i + 1].text if i + 1 < len(blocks) and not b.blank_after else "")
+            parts += [("heading", f"{'#' * level} {plain}")] if plain else []
+        elif is_a["list"][i]:
+            at = 0
+            for m in re.finditer(r"<(?:li|dt|dd)\b[^<>]*>|\\item\b|\Z", line, re.I):
+                item, at = line[at : m.start()], m.end()
+                wiki = re.match(r"\s*([*#;:]+)", item)
+                deep = max(nested - 1, len(wiki.group(1)) - 1 if wiki else (len(item) - len(item.lstrip())) // 2 if re.match(r"\s*(?:[+-]|\d+[.)])\s", item) else 0, 0)
+                nested = max(0, nested + len(_NESTS.findall(item)) - len(_UNNESTS.findall(item)))
+                plain = _plain(re.sub(r"^\s*(?:[*#;:+-]+|\d+[.)])\s*", "", item))
+                parts += [("list", f"{'  ' * deep}- {_put_back(plain, kept)}")] if plain else []
+        else:
+            plain = _put_back(_plain(line), kept)
+            parts += [("text", plain)] if plain else []
+    joined = ""
+    for k, (kind, part) in enumerate(parts):
+        joined += ("" if not k else "\n" if kind == "list" == parts[k - 1][0] else "\n\n") + part
+    return joined
 
 
 def clean_documents(df: DataFrame, row_id: Column, text: Column) -> DataFrame:

@@ -14,7 +14,7 @@ EXAMPLES: list[list[tuple[str, str]]] = [
     [("A list of words follows this line of the text.", ""), ("# wheel", "L"), ("# axle", "L"), ("", ""), ("Each of them is explained below in more detail.", "")],
     [("; mast : a tall pole", "L"), ("; sail : a sheet of cloth", "L"), ("Both are needed on a ship of that size.", "")],
     [("'''Oak''' is a tree of the northern half of the world.", "M"), ("It is ''very'' old and {{cite|book|12}} much loved.", "M"), ("[[Category:Trees]]", "M")],
-    [("#REDIRECT [[Other page]]", "M")], [("#redirect: [[Other page#Part]]", "M"), ("{{R from title}}", "M")],
+    [("#REDIRECT [[Other page]]", "M")], [("#REDIRECT [[Oak]]", "M")], [("# REDIRECT [[Old mill]]", "M"), ("", ""), ("[[Category:Mills]]", "M")], [("#redirect: [[Other page#Part]]", "M"), ("{{R from title}}", "M")],
     [("{{Infobox town", "M"), ("| name = Harl", "M"), ("| size = 12", "M"), ("}}", "M"), ("Harl is a town on the coast of the eastern sea.", "")],
     [('{| class="x"', "M"), ("! head", "M"), ("|-", "M"), ("| 12", "M"), ("|}", "M"), ("The table above has the figures of the year.", "")],
     [("[[File:map.png|thumb|a map]]", "M"), ("The map shows the old walls of the town and the gate.", "")],
@@ -28,6 +28,8 @@ EXAMPLES: list[list[tuple[str, str]]] = [
     [("[[broken link", "M"), ("was never closed by the author of the page.", "")], [("Some '''bold text without an end", "M")],
     [("Only one was left:", ""), ("", ""), ("* the lone mill", "L"), ("", ""), ("It was sold in the end.", "")], [("*lone item", "L"), ("The rest is lost.", "")], [("; mast : a pole", "L"), ("", ""), ("It stood on deck.", "")],
     [("- lone dash item", "L"), ("", ""), ("Plain words.", "")], [("1. lone number", "L"), ("", ""), ("Plain words.", "")], [("+ lone plus", "L")], [("'''Oak'''", "M"), ("'''Elm'''", "M")], [("; mast : a pole", "L"), ("; sail : cloth", "L")],
+    [("The gate was rebuilt twice, and its towers were joined to the wall of the old town.", ""), ("", ""), ("# gate of the town", "L"), ("# tower of stone", "L")], [("The gate was rebuilt twice.", ""), ("", ""), ("# wall", "L"), ("# ditch", "L"), ("", ""), ("Neither of them stands today.", "")],
+    [("# bell of bronze", "L"), ("# clock of the hall", "L")], [("# wall of the upper garden", "L"), ("# path", "L"), ("", ""), ("All of it was laid out by one hand in the years after the great fire.", "")],
     # HTML
     [("<h1>Title</h1>", "HM"), ("<p>The first lines of the page are here.</p>", "M"), ("<ul>", "LM"), ("<li>one</li>", "LM"), ("<li>two</li>", "LM"), ("</ul>", "LM")],
     [("<h2>Open heading", "HM"), ("The words go on without a closing tag for it.", "")], [("<H3 class='t'><b>Part</b></H3>", "HM"), ("<ol start=\"2\"><li>x<li>y</ol>", "LM")],

@@ -39,6 +39,11 @@ def test_labelled_table():
         assert ((t.predict(x) > 0.5) == y[:, k]).all()
 
 
+def test_the_trees_use_words_links_and_neighbours():
+    used = {markup.FEATURES[f] for t in markup.trees() for f in t.feature if f >= 0}
+    assert {"link_density", "words_before", "same_before", "underline_after"} <= used and len(markup.FEATURES) < 25
+
+
 def test_cross_validation():
     """Trees that have not seen a third of the table still know most of it."""
     x, y = markup.labelled_blocks()
@@ -52,7 +57,7 @@ def test_cross_validation():
 
 def test_clean_text():
     source = "== Title ==\n'''Oak''' is a [[tree|big tree]] &amp; old.<ref>x</ref>{{cite|a}}\n* one\n* [[two]]\n<!-- no -->\n<pre>\n* kept\n</pre>\nso <math>x^2</math> holds\n{| class=x\n|-\n| a\n|}\n[[Category:Trees]]"
-    assert markup.clean_text(source) == "# Title\n\nOak is a big tree & old.\n\n- one\n- two\n\n```\n* kept\n```\n\nso holds $x^2$"
+    assert markup.clean_text(source) == "# Title\n\nOak is a big tree & old.\n\n- one\n- two\n\n```\n* kept\n```\n\nso $x^2$ holds"
     assert markup.clean_text(None) is None and markup.clean_text("") == "" and markup.clean_text("#REDIRECT [[X]]") == ""
     assert markup.clean_text("Plain 9 * 7 < 8 & more_of_it.") == "Plain 9 * 7 < 8 & more_of_it."
 
@@ -77,11 +82,19 @@ def test_clean_query_takes_pages_and_aliases(spark, data):
     ("so {{math|''a'' + b}} and {{math|\\frac{p}{q}}} hold", "so $a + b$ and $\\frac{p}{q}$ hold"),
     ("as $\\frac{a}{b}$ and \\(\\sqrt{x_1}\\) show", "as $\\frac{a}{b}$ and $\\sqrt{x_1}$ show"),
     ("see <nowiki>* [[x]] {{y}}</nowiki> here", "see * [[x]] {{y}} here"),
-    ("by <math>x</math> and <math>y < z</math>", "by and $x$ $y < z$"),
+    ("by <math>x</math> and <math>y < z</math>", "by $x$ and $y < z$"),
     ("== On <math>x^2</math> sums ==\nwords\n* one <math>a_1</math> more\n* two $\\beta$ more", "# On $x^2$ sums\n\nwords\n\n- one $a_1$ more\n- two $\\beta$ more"),
     ("one\n\n{{open|a\n| b\n\ntwo\n\n{| class=x\n| c\n\nthree", "one\n\ntwo\n\nthree"),
     ("one\n\n{{closed|a\n\n| b\n}}\ntwo", "one\n\ntwo"),
     ("paid $5 or $6 only", "paid $5 or $6 only"),
+    ("Intro {{broken\nsecond line\n== Head ==\nmore text", "Intro\n\nsecond line\n\n# Head\n\nmore text"),
+    ("x {| y\nplain text\nmore text", "x {| y\n\nplain text\n\nmore text"),
+    ("before {{box\n| a = 1\n}} after it", "before\n\nafter it"),
+    ("$\\frac{a}{b}$", "$\\frac{a}{b}$"),
+    ("== Top ==\n=== Deep ===\n* a\n** b\n*** c\n* d", "# Top\n\n## Deep\n\n- a\n  - b\n    - c\n- d"),
+    ("# One\n\n## Two\n\n- a\n  - b\n\nSmall\n-----\n\n1. x\n2. y", "# One\n\n## Two\n\n- a\n  - b\n\n## Small\n\n- x\n- y"),
+    ("<h3>Part</h3>\n<ul>\n<li>a\n<ul><li>b</li></ul>\n</li>\n<li>c</li>\n</ul>", "### Part\n\n- a\n  - b\n- c"),
+    ("\\subsection{Two}\n\\begin{itemize}\n\\item a\n\\begin{enumerate}\n\\item b\n\\end{enumerate}\n\\end{itemize}", "## Two\n\n- a\n  - b"),
 ])
 def test_clean_text_keeps_formulas_and_visible_text(source, clean):
     assert markup.clean_text(source) == clean

@@ -1,7 +1,9 @@
 """The link graph: resolved links, mutual links, co-citation, distances, neighbours and subgraphs.
 
-links: src, dst, count, in_text. pages: id, ambiguous, entity. All operators are joins and aggregates that Catalyst plans;
-two-hop joins are keyed by the linking page and aggregated before anything else is joined.
+links: src, dst, count, in_text. pages: id, ambiguous, entity. All operators are joins and aggregates that Catalyst plans.
+Pages in common are counted for linked pairs only, from the page of the two with fewer links to it, so a popular page or a
+page of very many links never meets all pairs of its neighbours; where all pairs are asked for, the links of such a page are
+salted against each other.
 """
 
 from __future__ import annotations
@@ -9,6 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from knotwork.runtime import lookup_join
+
+#: Rows of a key above which a join of links with links salts it.
+HOT_LINKS = 1000
 #: Largest stored count of a link.
 MOST_COUNT = 255
 #: Fixed values of the distance formula.
@@ -21,7 +27,7 @@ def resolve_links(raw: DataFrame, aliases: DataFrame) -> DataFrame:
 
     Counts are summed up to 255, in_text is true if it once was; targets without a page are dropped.
     """
-    hit = raw.join(aliases, raw["target"] == aliases["alias"]).filter(F.col("src") != F.col("canonical"))
+    hit = lookup_join(raw.filter("target is not null"), aliases, "target", "alias", "inner").filter(F.col("src") != F.col("canonical"))
     return hit.groupBy("src", F.col("canonical").alias("dst")).agg(F.least(F.lit(MOST_COUNT), F.sum("count")).cast("int").alias("count"), F.bool_or("in_text").alias("in_text"))
 
 
@@ -42,10 +48,16 @@ def link_counts(pages: DataFrame, links: DataFrame) -> DataFrame:
     return pages.select("id").join(inlink_counts(links), "id", "left").join(out, "id", "left").select("id", F.coalesce("inlinks", F.lit(0)).alias("inlinks"), F.coalesce("outlinks", F.lit(0)).alias("outlinks"))
 
 
-def cocitation(links: DataFrame) -> DataFrame:
-    """(p, q, n): pages that link to both p and q, p <> q."""
-    a, b = links.select(F.col("src").alias("c"), F.col("dst").alias("p")), links.select(F.col("src").alias("c"), F.col("dst").alias("q"))
-    return a.join(b, "c").filter(F.col("p") != F.col("q")).groupBy("p", "q").agg(F.count("*").alias("n"))
+def cocitation(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(p, q, n): pages that link to both p and q, for the given pairs (p, q) and, as it is the same number, for (q, p); pairs without any are left out."""
+    counts = inlink_counts(links)
+    one = pairs.select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
+    sized = one.join(counts.select(F.col("id").alias("p"), F.col("inlinks").alias("np")), "p").join(counts.select(F.col("id").alias("q"), F.col("inlinks").alias("nq")), "q")
+    few = F.col("np") <= F.col("nq")
+    rare = sized.select(F.when(few, F.col("p")).otherwise(F.col("q")).alias("x"), F.when(few, F.col("q")).otherwise(F.col("p")).alias("y"))
+    through = lookup_join(rare, links.select(F.col("dst").alias("xd"), F.col("src").alias("c")), "x", "xd", "inner", HOT_LINKS)
+    met = through.join(links.select(F.col("src").alias("c"), F.col("dst").alias("y")), ["c", "y"]).groupBy("x", "y").agg(F.count("*").alias("n"))
+    return met.select(F.col("x").alias("p"), F.col("y").alias("q"), "n").unionByName(met.select(F.col("y").alias("p"), F.col("x").alias("q"), "n"))
 
 
 def distance(n1: Column, n2: Column, common: Column, mutual: Column) -> Column:
@@ -62,7 +74,7 @@ def edge_distances(links: DataFrame) -> DataFrame:
     fwd = links.select("src", "dst", F.lit(1).alias("f"), F.lit(0).alias("b"))
     rev = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(0).alias("f"), F.lit(1).alias("b"))
     pairs = fwd.unionByName(rev).groupBy("src", "dst").agg((F.sum("f") * F.sum("b") > 0).alias("mutual"))
-    coc = cocitation(links).select(F.col("p").alias("src"), F.col("q").alias("dst"), "n")
+    coc = cocitation(links, links.select(F.col("src").alias("p"), F.col("dst").alias("q"))).select(F.col("p").alias("src"), F.col("q").alias("dst"), "n")
     counts = inlink_counts(links)
     full = (
         pairs.join(coc, ["src", "dst"], "left")
@@ -81,7 +93,7 @@ def title_distances(links: DataFrame, pages: DataFrame, pairs: DataFrame) -> Dat
     into = links.select(F.col("dst").alias("a"), F.col("src").alias("c"))
     onward = links.select(F.col("src").alias("c"), F.col("dst").alias("b"))
     asked = pairs.select("a", "b").distinct()
-    through = asked.join(into, "a").join(onward, ["c", "b"]).groupBy("a", "b").agg(F.count("*").alias("n"))
+    through = lookup_join(asked, into.withColumnRenamed("a", "a2"), "a", "a2", "inner", HOT_LINKS).join(onward, ["c", "b"]).groupBy("a", "b").agg(F.count("*").alias("n"))
     ab = links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1).alias("ab"))
     ba = links.select(F.col("dst").alias("a"), F.col("src").alias("b"), F.lit(1).alias("ba"))
     counts = inlink_counts(links)
@@ -118,7 +130,7 @@ def top_neighbors(links: DataFrame, pages: DataFrame, n: int) -> DataFrame:
     own = out_clear.join(back, ["src", "dst"], "left").join(counts.withColumnRenamed("id", "dst"), "dst", "left").select("src", "dst", F.when(F.col("back"), boost).otherwise(1).cast("long").alias("s"))
     into = links.select(F.col("dst").alias("p"), F.col("src").alias("c")).join(clear.select(F.col("id").alias("c")), "c", "left_semi")
     onward = links.select(F.col("src").alias("c"), F.col("dst").alias("q"), "count")
-    two = into.join(onward, "c").filter(F.col("q") != F.col("p")).groupBy("p", "q").agg(F.sum("count").alias("s"))
+    two = lookup_join(into, onward.withColumnRenamed("c", "c2"), "c", "c2", "inner", HOT_LINKS).filter(F.col("q") != F.col("p")).groupBy("p", "q").agg(F.sum("count").alias("s"))
     score = own.unionByName(two.select(F.col("p").alias("src"), F.col("q").alias("dst"), "s")).groupBy("src", "dst").agg(F.sum("s").alias("score"))
     good = pages.filter(~F.col("ambiguous") & F.col("entity")).select(F.col("id").alias("dst"))
     full = (

@@ -1,6 +1,6 @@
 """Catalogue queries on the link graph and the pair store, with SQL for the same results.
 
-The link graph is derived from orders and their first line items: customers link to parts, and parts back where the item
+The link graph is derived from orders and all their line items: customers link to parts, and parts back where the item
 was returned. Customers are also sites whose linkers are parts.
 """
 
@@ -18,7 +18,7 @@ from knotwork.sources.tables import table
 
 def raw_links(spark: SparkSession, d: str) -> DataFrame:
     """(src, target, count, in_text) with repeats."""
-    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus").filter("l_linenumber = 1")
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_returnflag", "l_linestatus")
     both = li.join(table(spark, d, "orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     c, p = F.concat(F.lit("C"), "o_custkey"), F.concat(F.lit("P"), "l_partkey")
     rest = (F.lit(1).alias("count"), (F.col("l_linestatus") == "F").alias("in_text"))
@@ -75,8 +75,8 @@ def edge_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def title_distance(spark: SparkSession, d: str) -> DataFrame:
-    """Distances of customers to the parts that they ordered second."""
-    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_linenumber").filter("l_linenumber = 2")
+    """Distances of customers to the parts that they ordered."""
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey")
     asked = li.join(table(spark, d, "orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.concat(F.lit("C"), "o_custkey").alias("a"), F.concat(F.lit("P"), "l_partkey").alias("b"))
     return L.title_distances(links(spark, d), pages(spark, d), asked)
 
@@ -165,8 +165,8 @@ def key_pack(spark: SparkSession, d: str) -> DataFrame:
     return li.select(key.alias("key"), hi.alias("hi"), lo.alias("lo"))
 
 
-_RAW = """raw AS (SELECT 'C' || o_custkey AS src, 'P' || l_partkey AS target, l_linestatus = 'F' AS in_text FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1
- UNION ALL SELECT 'P' || l_partkey, 'C' || o_custkey, l_linestatus = 'F' FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1 AND l_returnflag = 'R'),
+_RAW = """raw AS (SELECT 'C' || o_custkey AS src, 'P' || l_partkey AS target, l_linestatus = 'F' AS in_text FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+ UNION ALL SELECT 'P' || l_partkey, 'C' || o_custkey, l_linestatus = 'F' FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'),
 pg AS (SELECT 'C' || c_custkey AS id, false AS ambiguous, true AS entity FROM customer UNION ALL SELECT 'P' || p_partkey, p_size = 50, p_size <> 49 FROM part)"""
 _L = f"""WITH {_RAW},
 lk AS (SELECT src, target AS dst, CAST(least(255, count(*)) AS INTEGER) AS count, bool_or(in_text) AS in_text FROM raw WHERE target IN (SELECT id FROM pg) AND src <> target GROUP BY 1, 2),
@@ -196,7 +196,7 @@ SELECT w.page_id AS src, p.page_id AS dst, CAST(least(255, sum(n)) AS INTEGER) A
     "bidi_edges": f"{_L} SELECT a.src, a.dst, CASE WHEN b.src IS NOT NULL THEN 1 WHEN a.count > 2 THEN 2 WHEN a.count > 1 THEN 3 ELSE 4 END AS distance FROM lk a JOIN pg ON pg.id = a.dst AND NOT ambiguous AND entity LEFT JOIN lk b ON a.src = b.dst AND a.dst = b.src WHERE a.in_text",
     "edge_distance": f"{_E} SELECT src, dst, distance FROM ed",
     "edge_stats": f"{_E} SELECT src, n1, coalesce(o1.n, 0) AS out1, dst, n2, coalesce(o2.n, 0) AS out2, common, CASE WHEN mutual THEN 'T' ELSE 'F' END AS bidi, distance FROM ed LEFT JOIN outl o1 ON o1.id = src LEFT JOIN outl o2 ON o2.id = dst",
-    "title_distance": f"""{_L}, q AS (SELECT DISTINCT 'C' || o_custkey AS a, 'P' || l_partkey AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 2),
+    "title_distance": f"""{_L}, q AS (SELECT DISTINCT 'C' || o_custkey AS a, 'P' || l_partkey AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 th AS (SELECT q.a, q.b, count(*) AS n FROM q JOIN lk x ON x.dst = q.a JOIN lk y ON y.src = x.src AND y.dst = q.b GROUP BY 1, 2),
 f AS (SELECT q.a, q.b, coalesce(i1.n, 0) AS n1, coalesce(i2.n, 0) AS n2, coalesce(th.n, 0) + CAST(ab.src IS NOT NULL AS INTEGER) + CAST(ba.src IS NOT NULL AS INTEGER) AS common, ab.src IS NOT NULL AND ba.src IS NOT NULL AS mutual, p1.id IS NOT NULL AND p2.id IS NOT NULL AS known
  FROM q LEFT JOIN th ON th.a = q.a AND th.b = q.b LEFT JOIN inl i1 ON i1.id = q.a LEFT JOIN inl i2 ON i2.id = q.b LEFT JOIN lk ab ON ab.src = q.a AND ab.dst = q.b LEFT JOIN lk ba ON ba.src = q.b AND ba.dst = q.a LEFT JOIN pg p1 ON p1.id = q.a LEFT JOIN pg p2 ON p2.id = q.b)

@@ -91,7 +91,7 @@ def test_chain_queries_take_all_hops(spark, data):
         both = [for_a[x] + for_b[x] for x in for_a.keys() & for_b.keys()]
         if both:
             expected[q] = min(both)
-    assert dict(rows(catalog_graph.shortest_chain_full(spark, data))) == expected
+    assert dict(rows(catalog_graph.shortest_chain(spark, data))) == expected
     told = {r["query"]: json.loads(r["response"])["payload"]["edges"] for r in catalog_graph.chain_responses(spark, data).collect()}
     assert {q: sum(e["distance"] for e in t) for q, t in told.items()} == expected
 

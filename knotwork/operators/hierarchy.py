@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knotwork.runtime import lookup_join, staged
+from knotwork.runtime import BROADCAST_BYTES, estimated_bytes, lookup_join, staged
 
 #: One node in so many is a splitter; steps of a walk between two stagings.
 SPLITTER_ONE_IN = 4
@@ -41,6 +41,7 @@ def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, one_in: int
 
     # A walk: start, the node it stands at, steps made and nodes passed (start included, the end not).
     walks = up.filter(F.col("parent").isNotNull()).select(F.col("node").alias("start"), F.col("parent").alias("cur"), F.lit(1).alias("len"), _array(with_paths, F.array("node")).alias("way"))
+    broadcast = estimated_bytes(table) <= BROADCAST_BYTES  # else every look-up counts the hot keys of what it gets, which must stand by then
     done, left = [], -1
     while True:
         for _ in range(steps):
@@ -53,7 +54,8 @@ def resolve_hierarchy(links: DataFrame, *, with_paths: bool = True, one_in: int
                 _array(with_paths, F.col("way"), F.when(on, F.array("cur")).otherwise(F.array().cast("array<long>"))).alias("way"),
                 (~on).alias("ended"),
             )
-        walks = staged(walks)
+            walks = walks if broadcast else staged(walks)
+        walks = staged(walks) if broadcast else walks
         now = walks.filter(~F.col("ended")).count()
         done.append(walks.filter("ended").drop("ended"))
         if now == 0 or now == left:

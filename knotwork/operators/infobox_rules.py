@@ -33,7 +33,7 @@ infobox broadcast ~ former_affiliations ~ BROADCAST MEDIA ~ AFFILIATION ~ 30 ~ 3
 infobox broadcast ~ location ~ BROADCAST MEDIA ~ LOCATION ~ 50 ~ 60 ~ [[T]]'s studio is located in [[X]]
 infobox website ~ author ~ WEB ~ CREATOR ~ 10 ~ 10 ~ [[X]] created [[T]]
 infobox website ~ owner ~ BUSINESS ~ INVESTMENT ~ 30 ~ 30 ~ [[X]] operates [[T]]
-infobox software ~ author ~ TECHNOLOGY ~ DEVELOPER ~ 10 ~ 25 ~ [[X]] wrote [[X]]
+infobox software ~ author ~ TECHNOLOGY ~ DEVELOPER ~ 10 ~ 25 ~ [[X]] wrote [[T]]
 infobox software ~ developer ~ TECHNOLOGY ~ DEVELOPER ~ 10 ~ 25 ~ [[X]] developed [[T]]
 infobox television ~ director ~ BROADCAST MEDIA ~ DIRECTOR ~ 10 ~ 10 ~ [[T]] was directed by [[X]]
 infobox television ~ writer ~ BROADCAST MEDIA ~ WRITER ~ 10 ~ 10 ~ [[T]] was written by [[X]]

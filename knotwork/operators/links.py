@@ -172,6 +172,11 @@ def canonical_outlinks(outlinks: DataFrame, aliases: DataFrame, drop: str = "|")
     return first.groupBy("src").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]), "|").alias("outlinks"))
 
 
+def limited_links(links: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` links by falling count, then by their ends; an optional limit of an index."""
+    return links.orderBy(F.desc("count"), "src", "dst").limit(most)
+
+
 def self_relations(relations: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
     """Relations of a page to itself; a sound index has none."""
     return relations.filter(F.col(a) == F.col(b))

@@ -177,4 +177,10 @@ SELECT p, count(*) AS n, '(' || string_agg(t, ', ' ORDER BY t) FILTER (WHERE r <
 SELECT id, name, name || ' (' || CASE WHEN instr(k, ' ') > 1 AND split_part(k, ' ', -1) = name THEN regexp_replace(k, ' [^ ]*$', '') ELSE k END || ')' AS key FROM n""",
 }
 
+# one pair after the other by falling score, unless either side is taken
+SQL["graph_merge_matches"] = f"""WITH RECURSIVE sc AS ({SQL['graph_merge_candidates']}), o AS (SELECT *, row_number() OVER (ORDER BY score DESC, b, a) AS i FROM sc),
+g(i, ub, ua, b, a, score, took) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), false
+ UNION ALL SELECT o.i, CASE WHEN ok THEN list_append(ub, o.b) ELSE ub END, CASE WHEN ok THEN list_append(ua, o.a) ELSE ua END, o.b, o.a, o.score, ok FROM (SELECT g.i AS gi, ub, ua, o.*, NOT list_contains(ub, o.b) AND NOT list_contains(ua, o.a) AS ok FROM g JOIN o ON o.i = g.i + 1) o)
+SELECT b, a, score FROM g WHERE took"""
+
 QUERIES = {f.__name__: f for f in (alias_to_canonicals, default_aliases, concept_dict, identifications, concept_urls, snippet_table, concept_neighbors, concept_merge, canonicalize, fill_distances, kv_diff, graph_merge_candidates, graph_merge_matches, graph_union, relation_sample, freebase_fold)}

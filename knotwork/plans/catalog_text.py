@@ -109,9 +109,9 @@ def concept_frequency(spark: SparkSession, d: str) -> DataFrame:
 
 
 def near_spellings(spark: SparkSession, d: str) -> DataFrame:
-    """Names of concepts that are one edit from a page title."""
-    words = table(spark, d, "concept_docs", "concept_key").select(F.col("concept_key").alias("word")).distinct()
-    return spotting.near_spellings(words, _titles(spark, d).select(F.col("title").alias("word")))
+    """Common names of graph add that are one edit from one of graph base, in lower case."""
+    names = table(spark, d, "concept_docs", "graph", "body").select("graph", F.lower(F.get_json_object("body", "$.common_name")).alias("word")).filter("word <> ''").distinct()
+    return spotting.near_spellings(names.filter("graph = 'add'").select("word"), names.filter("graph = 'base'").select("word"))
 
 
 def phase1(spark: SparkSession, d: str) -> DataFrame:
@@ -194,7 +194,8 @@ SELECT a AS src, b AS dst, 'BUSINESS' AS category, subcategory, snippet, d1 AS d
     "stream_event_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "source_links": r"""WITH p AS (SELECT DISTINCT page_id, title, content FROM raw_pages), l AS (SELECT title, unnest(regexp_extract_all(content, '\[\[([^:#\]|]+)[|\]]', 1)) AS target FROM p)
 SELECT DISTINCT title, target FROM l WHERE NOT regexp_matches(title, '[:#]|disambiguation|^\d{4}$|^\d{4} in|^(January|February|March|April|May|June|July|August|September|October|November|December)\b') AND NOT regexp_matches(target, '[:#]|disambiguation|^\d{4}$|^\d{4} in|^(January|February|March|April|May|June|July|August|September|October|November|December)\b')""",
-    "near_spellings": "SELECT DISTINCT concept_key AS word, title AS suggestion, CAST(1 AS INTEGER) AS distance FROM (SELECT DISTINCT concept_key FROM concept_docs) JOIN (SELECT DISTINCT title FROM page_nodes) ON abs(length(concept_key) - length(title)) <= 1 AND levenshtein(concept_key, title) = 1",
+    "near_spellings": """WITH n AS (SELECT DISTINCT graph, lower(body->>'$.common_name') AS word FROM concept_docs WHERE json_valid(body) AND body->>'$.common_name' <> '')
+SELECT a.word, b.word AS suggestion, CAST(1 AS INTEGER) AS distance FROM n a JOIN n b ON a.graph = 'add' AND b.graph = 'base' AND abs(length(a.word) - length(b.word)) <= 1 AND levenshtein(a.word, b.word) = 1""",
     "token_index": r"SELECT DISTINCT unnest([t FOR t IN string_split_regex(lower(title), '[^\p{L}\p{N}]+') IF t <> '']) AS term, page_id FROM (SELECT DISTINCT page_id, title FROM page_nodes)",
 }
 

@@ -29,8 +29,8 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Children of edge descriptors and concept bodies with their paths."""
-    edges = shredding.shred(table(spark, d, "graph_edges", "edge_id", "descriptors"), F.col("edge_id"), F.col("descriptors"), shredding.edge_descriptors, scalars=False)
-    docs = shredding.shred(table(spark, d, "concept_docs", "concept_row", "body"), F.col("concept_row"), F.col("body"), shredding.concept_bodies, scalars=False)
+    edges = shredding.shred(table(spark, d, "graph_edges", "edge_id", "descriptors"), F.col("edge_id"), F.col("descriptors"), shredding.edge_descriptors)
+    docs = shredding.shred(table(spark, d, "concept_docs", "concept_row", "body"), F.col("concept_row"), F.col("body"), shredding.concept_bodies)
     both = edges.withColumn("src", F.lit("graph_edges")).unionByName(docs.withColumn("src", F.lit("concept_docs")))
     return both.select("src", "row_id", "child", "path")
 

@@ -61,6 +61,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if context.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="knotwork-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     context.setCheckpointDir(made)

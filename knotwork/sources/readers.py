@@ -42,6 +42,11 @@ def read_images_index(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).filter(F.col("value").contains("|")).select(F.substring_index("value", "|", 1).alias("title"), F.expr("substring(value, instr(value, '|') + 1)").alias("path"))
 
 
+def read_flat_links(spark: SparkSession, path: str) -> DataFrame:
+    """(src, target) from lines with one link each, cut at the first tab."""
+    return _lines(spark, path).filter(F.col("value").contains("\t")).select(F.substring_index("value", "\t", 1).alias("src"), F.expr("substring(value, instr(value, '\t') + 1)").alias("target"))
+
+
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
     """(topic) of a list with one title a line."""
     return _lines(spark, path).filter("value <> ''").select(F.col("value").alias("topic"))
@@ -97,11 +102,11 @@ def read_ntriples_subjects(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).select(resource_title(F.col("value")).alias("title")).filter("title is not null").distinct()
 
 
-def read_jdbc_range(spark: SparkSession, url: str, table: str, key: str, step: int = 1000, **options: str) -> DataFrame:
-    """A relational table in ranges of ``step`` ids: bounds are asked first, every range is one partition."""
+def read_jdbc_range(spark: SparkSession, url: str, table: str, key: str, step: int = 1000, most: int = 2000, **options: str) -> DataFrame:
+    """A relational table in ranges of ``step`` ids: bounds are asked first, every range is one partition; wider ranges where there would be over ``most``."""
     base = spark.read.format("jdbc").option("url", url).options(**options)
     low, high = base.option("query", f"SELECT MIN({key}) AS a, MAX({key}) AS b FROM {table}").load().first()
-    parts = max(1, -(-(int(high or 0) - int(low or 0) + 1) // step))
+    parts = min(most, max(1, -(-(int(high or 0) - int(low or 0) + 1) // step)))
     return base.option("dbtable", table).option("partitionColumn", key).option("lowerBound", int(low or 0)).option("upperBound", int(high or 0) + 1).option("numPartitions", parts).load()
 
 

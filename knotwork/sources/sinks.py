@@ -33,6 +33,16 @@ def write_topics(topics: DataFrame, path: str) -> None:
     topics.orderBy(F.desc("inlinks"), "id").select(F.col("id").alias("value")).write.mode("overwrite").text(path)
 
 
+def write_images_index(images: DataFrame, path: str) -> None:
+    """Lines 'title|path'."""
+    images.select(F.concat_ws("|", "title", "path").alias("value")).write.mode("overwrite").text(path)
+
+
+def write_flat_links(links: DataFrame, path: str) -> None:
+    """One link a line: 'src', a tab, 'target'."""
+    links.select(F.concat_ws("\t", "src", "target").alias("value")).write.mode("overwrite").text(path)
+
+
 def write_links(links: DataFrame, path: str) -> None:
     """Links, each pair once."""
     links.dropDuplicates(["src", "dst"]).write.mode("overwrite").parquet(path)

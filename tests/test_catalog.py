@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 from compare import connect, spark_rows, sql_rows
 
-from knotwork.plans import catalog_concepts, catalog_graph, catalog_links, catalog_text, problems
+from knotwork.plans import catalog_concepts, catalog_graph, catalog_links, catalog_more, catalog_text, problems
 
-MODULES = (problems, catalog_links, catalog_graph, catalog_concepts, catalog_text)
+MODULES = (problems, catalog_links, catalog_graph, catalog_concepts, catalog_text, catalog_more)
 QUERIES = {n: f for m in MODULES for n, f in m.QUERIES.items()}
 SQL = {n: s for m in MODULES for n, s in m.SQL.items()}
 

@@ -110,7 +110,7 @@ def concept_frequency(spark: SparkSession, d: str) -> DataFrame:
 
 def near_spellings(spark: SparkSession, d: str) -> DataFrame:
     """Common names of graph add that are one edit from one of graph base, in lower case."""
-    names = table(spark, d, "concept_docs", "graph", "body").select("graph", F.lower(F.get_json_object("body", "$.common_name")).alias("word")).filter("word <> ''").distinct()
+    names = table(spark, d, "concept_docs", "graph", "body").select("graph", F.lower(F.try_variant_get(F.try_parse_json("body"), "$.common_name", "string")).alias("word")).filter("word <> ''").distinct()
     return spotting.near_spellings(names.filter("graph = 'add'").select("word"), names.filter("graph = 'base'").select("word"))
 
 

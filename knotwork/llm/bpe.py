@@ -134,7 +134,7 @@ class Encoder:
         """The words of each text; all of them are known afterwards."""
         cut = [self.find(t) if t else [] for t in texts]
         known = self.words
-        new = set().union(*cut) - known.keys()
+        new = {w for w in set().union(*cut) if w not in known}
         if len(known) + len(new) > KEPT_WORDS:
             known = self.words = {w: known[w] for words in cut for w in words if w in known}
             self.sizes = {w: len(ids) for w, ids in known.items()}
@@ -143,7 +143,7 @@ class Encoder:
 
     def know(self, words: set[str]) -> None:
         """Learn those words of the pattern that are not known."""
-        new = words - self.words.keys()
+        new = {w for w in words if w not in self.words}
         if new:
             self._learn(new)
             self.sizes.update((w, len(self.words[w])) for w in new)

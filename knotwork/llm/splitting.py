@@ -81,8 +81,9 @@ class _Sized:
         marks = coder.__dict__.setdefault("marks", {})
         if len(marks) > KEPT_WORDS:
             marks.clear()
-        for u in set(units) - marks.keys():
-            marks[u] = _marks(u)
+        for u in set(units):
+            if u not in marks:
+                marks[u] = _marks(u)
         n = len(units)
         size = coder.sizes.__getitem__ if not chunks else lambda u: known[u] if u in known else coder.sizes[u]
         run = lambda f: np.concatenate([[0], np.cumsum(np.fromiter(map(f, units), "int64", n))])

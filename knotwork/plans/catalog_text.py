@@ -194,8 +194,11 @@ SELECT a AS src, b AS dst, 'BUSINESS' AS category, subcategory, snippet, d1 AS d
     "stream_event_counts": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "source_links": r"""WITH p AS (SELECT DISTINCT page_id, title, content FROM raw_pages), l AS (SELECT title, unnest(regexp_extract_all(content, '\[\[([^:#\]|]+)[|\]]', 1)) AS target FROM p)
 SELECT DISTINCT title, target FROM l WHERE NOT regexp_matches(title, '[:#]|disambiguation|^\d{4}$|^\d{4} in|^(January|February|March|April|May|June|July|August|September|October|November|December)\b') AND NOT regexp_matches(target, '[:#]|disambiguation|^\d{4}$|^\d{4} in|^(January|February|March|April|May|June|July|August|September|October|November|December)\b')""",
-    "near_spellings": """WITH n AS (SELECT DISTINCT graph, lower(body->>'$.common_name') AS word FROM concept_docs WHERE json_valid(body) AND body->>'$.common_name' <> '')
-SELECT a.word, b.word AS suggestion, CAST(1 AS INTEGER) AS distance FROM n a JOIN n b ON a.graph = 'add' AND b.graph = 'base' AND abs(length(a.word) - length(b.word)) <= 1 AND levenshtein(a.word, b.word) = 1""",
+    # by characters, as the SQL function for edit distances counts bytes
+    "near_spellings": """WITH n AS (SELECT DISTINCT graph, lower(body->>'$.common_name') AS word FROM concept_docs WHERE json_valid(body) AND body->>'$.common_name' <> ''),
+g AS (SELECT graph, word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM n))
+SELECT word, suggestion, CAST(1 AS INTEGER) AS distance FROM (SELECT x.word, y.word AS suggestion FROM g x JOIN g y ON x.graph = 'add' AND y.graph = 'base' AND x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+ UNION SELECT x.word, y.word FROM g x JOIN n y ON x.graph = 'add' AND y.graph = 'base' AND x.rest = y.word UNION SELECT y.word, x.word FROM g x JOIN n y ON x.graph = 'base' AND y.graph = 'add' AND x.rest = y.word)""",
     "token_index": r"SELECT DISTINCT unnest([t FOR t IN string_split_regex(lower(title), '[^\p{L}\p{N}]+') IF t <> '']) AS term, page_id FROM (SELECT DISTINCT page_id, title FROM page_nodes)",
 }
 

@@ -11,7 +11,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from knotwork.llm import bodies, linkage, survivor
+from knotwork.llm import bodies, commons, linkage, survivor
 
 SCHEMA = "concept_row long, graph string, concept_key string, source string, body string, updated_at timestamp"
 
@@ -127,6 +127,60 @@ def test_common_values_split_the_blocks_of_each_other(spark):
     assert len(pairs) == len(set(pairs)) == len(triples) and all(a[0] == "base" and b[0] == "add" and a[1] == b[1] for a, b in pairs)
 
 
+@pytest.mark.parametrize("alone", [True, False])
+def test_pairs_that_share_only_what_many_hold_are_linked(spark, alone):
+    """One concept with 30 differently keyed records a side: its name and all shared edges are held by all 30, and nothing tells the pairs apart."""
+    records, pairs = ([], set()) if alone else world(300, 11)
+    for i in range(30):
+        for j, side in enumerate(("base", "add")):
+            body = {"common_name": "Great Tower", "edges": {e: {} for e in (*(f"part {x}" for x in range(6)), f"own {j} {i}")}, "notes": {"entity": "nonperson"}}
+            records.append((10_000 + 2 * i + j, side, f"Great Tower {'xy'[j]}{i}z", "s", json.dumps(body), None))
+    pairs |= {tuple(sorted((10_000 + 2 * i, 10_001 + 2 * k))) for i in range(30) for k in range(30)}
+    got = {(r["row_lo"], r["row_hi"]) for r in linkage.link_rows(spark.createDataFrame(records, SCHEMA)).collect()}
+    assert len(got & pairs) / len(pairs) > 0.97 and len(got & pairs) / len(got) > 0.97
+
+
+def test_squares_hold_every_pair_of_common_values_once(spark):
+    """All pairs that share a common value, whatever the squares, each once and with the votes that its outline says."""
+    random.seed(5)
+    some = lambda words, most: random.sample(words, random.randrange(most + 1))
+    records = []
+    for i in range(160):
+        aliases = [" ".join(x) for x in (some(["red", "old", "far"], 2), some(["mill", "lake", "port"], 2)) if x]
+        body = {"common_name": f"n{i} (place)" if i % 3 else f"n{i} (person)", "aliases": aliases, "edges": {e: {} for e in some(list("abcdefgh"), 5) + some([f"e{i // 8}", f"f{i // 8}"], 2)}, "web_sites": {"home_page": random.choice([None, "h1", "h2"])}}
+        records.append((i, "add" if i % 2 else "base", f"k{i}", "s", json.dumps(body), None))
+    entities, _ = linkage.entities_of(spark.createDataFrame(records, SCHEMA))
+    held = linkage.held_values(entities, "base", "add")
+    e = {r["eid"]: r for r in entities.collect()}
+    best = linkage.best_edges(linkage.measured_on(linkage.candidates(entities, "base", "add", common=4), entities)).cache()
+    classes = linkage._common_classes(held, entities, best, 4)
+    large = held.filter("k < 4 and (nl > 4 or nr > 4)").select("v", "side", "eid").collect()
+    holders = {}
+    for r in large:
+        holders.setdefault(r["v"], ([], []))[r["side"] == "add"].append(r["eid"])
+    want = {(l, r) for ls, rs in holders.values() for l in ls for r in rs}
+    assert len(want) > 4000
+    small = [r for r in held.filter("k < 4 and nl <= 4 and nr <= 4").collect()]
+    few = {}
+    for r in small:
+        few.setdefault(r["v"], ([], []))[r["side"] == "add"].append(r["eid"])
+    singled = {(l, r) for ls, rs in few.values() for l in ls for r in rs}
+    for side in (7, 1024):
+        sides = commons.squares(classes, "base", "add", side=side)
+        got = rows(commons.of_outlines(sides, list(range(commons.OUTLINES))))
+        assert len(got) == len(set(got)) and set(got) == want
+        drawn = commons.drawn(sides).collect()
+        assert abs(sum(r["weight"] for r in drawn) - len(want)) < 1e-6 and {(r["l"], r["r"]) for r in drawn} <= want
+    assert commons.of_outlines(sides, []).count() == 0
+    # those that share nothing rare have the votes of their outline
+    pairs = spark.createDataFrame([(r["l"], r["r"], r["outline"], 0, 0) for r in drawn if (r["l"], r["r"]) not in singled], "l string, r string, outline int, names_shared long, edges_shared long")
+    votes = linkage.votes_on(pairs, entities, best=best).join(pairs.select("l", "r", "outline"), ["l", "r"]).collect()
+    heard = [v for v in linkage.VOTES if v != "edges"]
+    allowed = {o: {tuple(p[[0, 1, 3, 4, 5, 6]]) for p in commons.patterns_of(o)} for o in {r["outline"] for r in votes}}
+    assert len(votes) > 500 and all(tuple(r[v] for v in heard) in allowed[r["outline"]] for r in votes)
+    assert len({r["outline"] for r in votes}) > 20 and all(e[r["l"]]["side"] == "base" for r in votes)
+
+
 def test_records_that_are_alike_are_compared_once(spark):
     same = {"common_name": "Old Mill", "edges": {"a": {}, "b": {}, "c": {}}}
     records = [(i, "base" if i < 40 else "add", "old mill", "s", json.dumps(same), None) for i in range(60)] + [(60 + i, "base", f"Old Mill {i}", "s", json.dumps(same), None) for i in range(30)]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from knotwork.operators import concepts, graph, links, merging, pairs, resolving
 from knotwork.plans import catalog_graph, catalog_links
-from knotwork.runtime import hot_keys, lookup_join
+from knotwork.runtime import hot_keys, lookup_join, staged
 
 
 def test_pair_store(spark):
@@ -96,6 +96,31 @@ def test_chain_queries_take_all_hops(spark, data):
     assert {q: sum(e["distance"] for e in t) for q, t in told.items()} == expected
 
 
+def _ask(spark, *ends):
+    return spark.createDataFrame([(q, side, alias, 0) for q, a, b in ends for side, alias in (("a", a), ("b", b))], "query int, side string, alias string, pos int")
+
+
+def test_chain_search_ends_with_an_end_that_has_no_links(spark, monkeypatch):
+    chain = [(f"n{i}", f"n{i + 1}", 5) for i in range(9)] + [("n0", f"m{i}", 4) for i in range(5)]
+    e = spark.createDataFrame(chain, "src string, dst string, weight int")
+    nodes = spark.createDataFrame([(x, x) for x in sorted({x for s, d, _ in chain for x in (s, d)} | {"alone"})], "alias string, node string")
+    steps = []
+    monkeypatch.setattr(graph, "staged", lambda df, **o: steps.append(1) or staged(df, **o))
+    assert graph.shortest_chains(e, _ask(spark, (1, "n0", "alone"), (2, "alone", "n0")), nodes).count() == 0
+    assert len(steps) <= 8  # not one after the other all hops of the end that has links
+    assert rows(graph.shortest_chains(e, _ask(spark, (1, "n0", "n7"), (2, "n0", "n8")), nodes), "query", "links") == [(1, 7)]
+
+
+def test_first_of_equal_chains_and_limits_of_either_side(spark):
+    e = [("a", "m", 1), ("z1", "m", 1), ("z2", "m", 1), ("y1", "z2", 1), ("y2", "z1", 1), ("b", "y1", 1), ("b", "y2", 1), ("p", "q", 1), ("q", "r", 1), ("r", "s", 1), ("p", "t", 9), ("s", "t", 9)]
+    df = spark.createDataFrame(e, "src string, dst string, weight int")
+    nodes = spark.createDataFrame([(x, x) for x in "a m z1 z2 y1 y2 b p q r s t".split()], "alias string, node string")
+    got = graph.shortest_chains(df, _ask(spark, (1, "a", "b"), (2, "p", "s")), nodes, max_links=2)
+    assert rows(got, "query", "dist", "path") == [(1, 4, ["a", "m", "z1", "y2", "b"]), (2, 3, ["p", "q", "r", "s"])]
+    # p reaches s in three links, which a limit of two a side leaves out
+    assert rows(graph.shortest_chains(df, _ask(spark, (2, "p", "s")), nodes, max_links=1), "dist", "path") == [(18, ["p", "t", "s"])]
+
+
 def test_page_chain_avoids_popular_pages(spark):
     df = spark.createDataFrame([("a", "hub"), ("hub", "b"), ("x", "hub"), ("y", "hub"), ("a", "m"), ("m", "n"), ("n", "b")], "src string, dst string")
     got = graph.page_chains(df, spark.createDataFrame([(1, "a", "b"), (2, "a", "nowhere"), (3, None, "b")], "query int, a string, b string"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import json
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -146,6 +147,17 @@ def test_drill_down_with_loops(spark):
     assert rows(graph.drill_down(c, p, spark.createDataFrame([("r",), ("o",)], "category string"))) == [("o", 3), ("r", 1), ("r", 2)]
 
 
+def test_asked_distances_build_only_what_is_asked(spark, data):
+    random.seed(5)
+    linkers = spark.createDataFrame([(random.choice("abcdefgh"), random.randrange(12)) for _ in range(60)] + [("a", None), (None, 1), ("z", 99)], "site string, linker int").select("site", F.col("linker").cast("string").alias("linker"))
+    asked = spark.createDataFrame([(x, y) for x in "abcdz" for y in "abcdefghz?"] + [(None, "a")], "a string, b string")
+    store = {(x, y): n for x, y, n in rows(pairs.site_distances(linkers))}
+    want = {(min(x, y), max(x, y)): store.get((min(x, y), max(x, y))) for x in "abcdz" for y in "abcdefghz" if x != y}
+    assert {(x, y): n for x, y, n in rows(pairs.asked_distances(linkers, asked))} == {k: n for k, n in want.items() if n is not None}
+    plan = catalog_links.pair_lookup(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lo#" in plan and not [x for x in plan.split("\n") if "Join" in x and re.search(r"\(lo#\d+ < (hi|lo)#\d+\)", x)]  # no pairs of all sites of a linker
+
+
 def test_greedy_matching(spark):
     random.seed(1)
     scores = list({(b, a): (b, a, random.randrange(1, 6)) for b, a in ((random.randrange(12), random.randrange(12)) for _ in range(60))}.values())

@@ -203,6 +203,16 @@ def test_resolution(spark):
     assert rows(resolving.resolve_concepts(requests, aliases, near)) == [(1, "apple", "Apple Inc", 185), (1, "mac", "Macintosh", 190)]
 
 
+def test_meanings_of_one_text_are_not_paired(spark):
+    meanings = [("many", f"m{i}", i % 40) for i in range(60)] + [("one", "m7", 3), ("one", "x", 0)]
+    requests = spark.createDataFrame([(1, "many"), (1, "one"), (2, "many")], "request int, text string")
+    near = spark.createDataFrame([("m1", "m2", 5), ("m3", "x", 5), ("x", "m3", 5), ("m7", "m3", 1)], "canonical string, neighbor string, quality int")
+    got = resolving.resolve_concepts(requests, spark.createDataFrame(meanings, "alias string, canonical string, quality int"), near)
+    assert rows(got) == [(1, "many", "m3", 192), (1, "one", "x", 195)]
+    pairs_of_text = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x and re.search(r"\(text#\d+ = text#\d+\)", x)]
+    assert not pairs_of_text
+
+
 def test_skew_safe_join(spark):
     left = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 0), (None, 1)], "k int, v int")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "rk int, w string")
